@@ -22,6 +22,12 @@ def _all_of(table: str, days: tuple[str, ...] = (), stamps: tuple[str, ...] = ()
     return f"SELECT *{replace} FROM {table}"
 
 
+def _mean(column: str, digits: int = 2) -> str:
+    """Mean of values rounded to ``digits``, in whole units of the last digit (free of summation order)."""
+    scale = 10**digits
+    return f"round(CAST(sum(CAST(round({column} * {scale}) AS BIGINT)) AS DOUBLE) / count({column})) / {scale}"
+
+
 ANSWERS: dict[str, str] = {}
 
 
@@ -154,16 +160,16 @@ SELECT atm_id, region, atm_type, provider, capacity_tier, is_cash_deposit_enable
        wallet_amount_mad, success_rate_pct, total_transactions, total_amount_mad, performance_grade
 FROM atm_performance
 """)
-_answer("serve_atm_by_region", """
+_answer("serve_atm_by_region", f"""
 SELECT region, performance_grade, count(DISTINCT atm_id) AS atm_count,
        CAST(sum(total_transactions) AS BIGINT) AS total_transactions, sum(total_amount_mad) AS total_amount_mad,
-       round(avg(success_rate_pct), 2) AS avg_success_rate_pct, CAST(sum(ooc_events) AS BIGINT) AS total_ooc_events,
+       {_mean('success_rate_pct')} AS avg_success_rate_pct, CAST(sum(ooc_events) AS BIGINT) AS total_ooc_events,
        sum(attempted_amount_mad) AS total_lost_revenue_mad
 FROM atm_performance GROUP BY region, performance_grade
 """)
-_answer("serve_atm_by_grade", """
+_answer("serve_atm_by_grade", f"""
 SELECT performance_grade, count(DISTINCT atm_id) AS atm_count,
-       round(avg(success_rate_pct), 2) AS avg_success_rate_pct, CAST(sum(ooc_events) AS BIGINT) AS total_ooc_events
+       {_mean('success_rate_pct')} AS avg_success_rate_pct, CAST(sum(ooc_events) AS BIGINT) AS total_ooc_events
 FROM atm_performance GROUP BY performance_grade
 """)
 _answer("serve_replenishment", """
@@ -172,17 +178,17 @@ SELECT atm_id, region, provider, capacity_tier, cash_limit_mad, CAST(activity_da
        ran_out_of_cash, replenishment_urgency, replenishment_status
 FROM replenishment_analysis
 """)
-_answer("serve_replenishment_by_urgency", """
+_answer("serve_replenishment_by_urgency", f"""
 SELECT replenishment_urgency, replenishment_status, count(DISTINCT atm_id) AS atm_count,
-       CAST(sum(ooc_events) AS BIGINT) AS total_ooc_events, round(avg(cash_utilization_pct), 2) AS avg_utilization_pct,
+       CAST(sum(ooc_events) AS BIGINT) AS total_ooc_events, {_mean('cash_utilization_pct')} AS avg_utilization_pct,
        sum(attempted_after_empty_mad) AS total_lost_mad
 FROM replenishment_analysis GROUP BY replenishment_urgency, replenishment_status
 """)
 _answer("serve_fraud_risk", "SELECT * EXCLUDE (customer_key) FROM fraud_risk_scoring")
-_answer("serve_fraud_summary", """
+_answer("serve_fraud_summary", f"""
 SELECT risk_level, income_segment, age_group, gender, count(*) AS customer_count,
-       round(avg(fraud_risk_score), 2) AS avg_risk_score, CAST(sum(fraud_transactions) AS BIGINT) AS total_fraud_txns,
-       round(avg(fraud_rate_pct), 4) AS avg_fraud_rate_pct, CAST(sum(dark_web_cards) AS BIGINT) AS total_dark_web_cards
+       {_mean('fraud_risk_score')} AS avg_risk_score, CAST(sum(fraud_transactions) AS BIGINT) AS total_fraud_txns,
+       {_mean('fraud_rate_pct', 4)} AS avg_fraud_rate_pct, CAST(sum(dark_web_cards) AS BIGINT) AS total_dark_web_cards
 FROM fraud_risk_scoring GROUP BY risk_level, income_segment, age_group, gender
 """)
 _answer("serve_channel", """
@@ -196,17 +202,17 @@ SELECT channel_code, CAST(transaction_date AS VARCHAR) AS transaction_date,
        round(sum(successful_txns) * 100.0 / nullif(sum(transactions), 0), 2) AS success_rate_pct
 FROM channel_comparison GROUP BY ALL
 """)
-_answer("serve_channel_by_time", """
+_answer("serve_channel_by_time", f"""
 SELECT channel_code, time_of_day, CAST(sum(transactions) AS BIGINT) AS total_transactions,
-       round(avg(success_rate_pct), 2) AS avg_success_rate_pct
+       {_mean('success_rate_pct')} AS avg_success_rate_pct
 FROM channel_comparison GROUP BY channel_code, time_of_day
 """)
 _answer("serve_customer_spending", "SELECT * EXCLUDE (customer_key) FROM customer_spending_behavior")
-_answer("serve_spending_summary", """
+_answer("serve_spending_summary", f"""
 SELECT activity_level, income_segment, age_group, preferred_category, count(*) AS customer_count,
        round(avg(total_spend_mad), 2) AS avg_total_spend_mad, round(avg(avg_spend_mad), 2) AS avg_transaction_mad,
-       round(avg(online_ratio_pct), 2) AS avg_online_ratio_pct,
-       round(avg(spend_to_income_ratio), 2) AS avg_spend_to_income, CAST(sum(fraud_txns) AS BIGINT) AS total_fraud_txns
+       {_mean('online_ratio_pct')} AS avg_online_ratio_pct,
+       {_mean('spend_to_income_ratio')} AS avg_spend_to_income, CAST(sum(fraud_txns) AS BIGINT) AS total_fraud_txns
 FROM customer_spending_behavior GROUP BY activity_level, income_segment, age_group, preferred_category
 """)
 _answer("serve_governorate", "SELECT * FROM governorate_summary")

@@ -43,6 +43,28 @@ def ratio_pct(part: Column, whole: Column) -> Column:
     return F.try_divide(part * F.lit(100.0), whole.cast("double"))
 
 
+def round_to(c: Column, digits: int) -> Column:
+    """Rounded the way the marts are defined: the scaled double, halves away from zero.
+
+    ``F.round`` rounds the decimal text of a double instead, so that 76.865
+    (a little less in binary) becomes 76.87 there and 76.86 here.
+    """
+    scale = float(10**digits)
+    return F.round(c * F.lit(scale)) / F.lit(scale)
+
+
+def mean_of_rounded(column: str, digits: int) -> Column:
+    """Mean of a column that was rounded to ``digits``, rounded to ``digits`` again.
+
+    The values are summed as whole numbers of the last digit.  A sum of doubles
+    depends on the order of the rows, and a mean half way between two results
+    would then round up in one run and down in the next.
+    """
+    scale = float(10**digits)
+    units = F.sum(F.round(F.col(column) * F.lit(scale)).cast("bigint"))
+    return F.round(F.try_divide(units.cast("double"), F.count(column))) / F.lit(scale)
+
+
 def count_if(c: Column) -> Column:
     """Number of rows where ``c`` is true, 0 for none."""
     return F.count_if(c)
@@ -173,7 +195,7 @@ def convert_to_mad(amount: Column, currency: str | Column) -> Column:
         for code, value in fv.MAD_RATES.items():
             rate = rate.when(currency == code, F.lit(value))
         rate = rate.otherwise(F.lit(1.0))
-    return F.round(amount.cast("double") * rate, 2)
+    return round_to(amount.cast("double") * rate, 2)
 
 
 # --- marts -------------------------------------------------------------------
@@ -223,7 +245,7 @@ def fraud_risk_score(
         (max_amount > threshold, 5.0),
     ):
         points = points + F.when(hit, F.lit(weight)).otherwise(F.lit(0.0))
-    return F.least(F.lit(100.0), F.round(points, 2))
+    return F.least(F.lit(100.0), round_to(points, 2))
 
 
 def classify_risk_level(rate_pct: Column, debt_risk: Column, dark_web_cards: Column) -> Column:

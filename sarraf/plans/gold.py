@@ -62,7 +62,7 @@ def atm_performance(
     success = _pct("successful_card_txns", "card_transactions")
     return combined.withColumns(_or_zero(*measures)).withColumns(
         {
-            "success_rate_pct": F.round(success, 2),
+            "success_rate_pct": rules.round_to(success, 2),
             "total_transactions": F.col("card_transactions") + F.col("wallet_transactions"),
             "total_amount_mad": F.col("card_amount_mad") + F.col("wallet_amount_mad"),
             "performance_grade": rules.performance_grade(F.col("ooc_events"), success),
@@ -92,7 +92,7 @@ def replenishment_analysis(dim_atm: DataFrame, atm: DataFrame, ooc: DataFrame, c
     used = _pct("dispensed_mad", "cash_limit_mad")
     return combined.withColumns(
         {
-            "cash_utilization_pct": F.round(used, 2),
+            "cash_utilization_pct": rules.round_to(used, 2),
             "ran_out_of_cash": F.col("ooc_events") > 0,
             "replenishment_urgency": rules.replenishment_urgency(F.col("ooc_events")),
             "replenishment_status": rules.replenishment_status(used),
@@ -134,7 +134,7 @@ def channel_comparison(
         F.broadcast(dim_channel.select("channel_key", "channel_code")), "channel_key", "left"
     ).withColumns(
         {
-            "success_rate_pct": F.round(_pct("successful_txns", "transactions"), 2),
+            "success_rate_pct": rules.round_to(_pct("successful_txns", "transactions"), 2),
             "time_of_day": rules.time_of_day(F.col("transaction_hour")),
             "_loaded_at": ctx.now(),
         }
@@ -213,8 +213,8 @@ def customer_spending_behavior(
         }
     ).withColumns(
         {
-            "spend_to_income_ratio": F.round(_pct("total_spend_mad", "yearly_income_mad"), 2),
-            "online_ratio_pct": F.round(_pct("online_txns", "total_transactions"), 2),
+            "spend_to_income_ratio": rules.round_to(_pct("total_spend_mad", "yearly_income_mad"), 2),
+            "online_ratio_pct": rules.round_to(_pct("online_txns", "total_transactions"), 2),
             "_loaded_at": ctx.now(),
         }
     )
@@ -241,7 +241,7 @@ def fraud_risk_scoring(
         F.max("most").alias("max_amount_mad"),
         F.sum("online").alias("online_transactions"),
         F.count("transaction_date").alias("active_days"),
-    ).withColumn("fraud_rate_pct", F.round(_pct("fraud_transactions", "total_transactions"), 4))
+    ).withColumn("fraud_rate_pct", rules.round_to(_pct("fraud_transactions", "total_transactions"), 4))
     cards = dim_card.groupBy("customer_key").agg(
         F.count("*").alias("total_cards"),
         rules.count_if(F.col("card_on_dark_web")).alias("dark_web_cards"),
@@ -313,9 +313,9 @@ def governorate_summary(
         {
             "total_transactions": atm_n + wallet_n,
             "total_amount_mad": F.col("atm_amount_mad") + F.col("wallet_amount_mad"),
-            "atm_success_rate_pct": F.round(_pct("successful_atm_txns", "atm_transactions"), 2),
-            "ooc_rate_pct": F.round(_pct("ooc_events", atm_n + ooc_n), 2),
-            "wallet_share_pct": F.round(_pct("wallet_transactions", atm_n + wallet_n), 2),
+            "atm_success_rate_pct": rules.round_to(_pct("successful_atm_txns", "atm_transactions"), 2),
+            "ooc_rate_pct": rules.round_to(_pct("ooc_events", atm_n + ooc_n), 2),
+            "wallet_share_pct": rules.round_to(_pct("wallet_transactions", atm_n + wallet_n), 2),
             "_loaded_at": ctx.now(),
         }
     )

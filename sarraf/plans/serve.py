@@ -24,8 +24,8 @@ def _desc(*columns: str) -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in columns]
 
 
-def _mean(column: str, digits: int = 2) -> Column:
-    return F.round(F.avg(column), digits)
+def _mean(column: str) -> Column:
+    return rules.round_to(F.avg(column), 2)
 
 
 # --- terminals -----------------------------------------------------------------
@@ -49,7 +49,7 @@ def atm_by_region(mart: DataFrame) -> DataFrame:
         F.count_distinct("atm_id").alias("atm_count"),
         F.sum("total_transactions").alias("total_transactions"),
         F.sum("total_amount_mad").alias("total_amount_mad"),
-        _mean("success_rate_pct").alias("avg_success_rate_pct"),
+        rules.mean_of_rounded("success_rate_pct", 2).alias("avg_success_rate_pct"),
         F.sum("ooc_events").alias("total_ooc_events"),
         F.sum("attempted_amount_mad").alias("total_lost_revenue_mad"),
     ).orderBy(*_desc("total_transactions"))
@@ -58,7 +58,7 @@ def atm_by_region(mart: DataFrame) -> DataFrame:
 def atm_by_grade(mart: DataFrame) -> DataFrame:
     return mart.groupBy("performance_grade").agg(
         F.count_distinct("atm_id").alias("atm_count"),
-        _mean("success_rate_pct").alias("avg_success_rate_pct"),
+        rules.mean_of_rounded("success_rate_pct", 2).alias("avg_success_rate_pct"),
         F.sum("ooc_events").alias("total_ooc_events"),
     ).orderBy("performance_grade")
 
@@ -80,7 +80,7 @@ def replenishment_by_urgency(mart: DataFrame) -> DataFrame:
     return mart.groupBy("replenishment_urgency", "replenishment_status").agg(
         F.count_distinct("atm_id").alias("atm_count"),
         F.sum("ooc_events").alias("total_ooc_events"),
-        _mean("cash_utilization_pct").alias("avg_utilization_pct"),
+        rules.mean_of_rounded("cash_utilization_pct", 2).alias("avg_utilization_pct"),
         F.sum("attempted_after_empty_mad").alias("total_lost_mad"),
     ).orderBy(*_desc("total_ooc_events"))
 
@@ -104,9 +104,9 @@ def fraud_risk(mart: DataFrame, limit: int | None = None) -> DataFrame:
 def fraud_summary(mart: DataFrame) -> DataFrame:
     return mart.groupBy("risk_level", "income_segment", "age_group", "gender").agg(
         F.count("*").alias("customer_count"),
-        _mean("fraud_risk_score").alias("avg_risk_score"),
+        rules.mean_of_rounded("fraud_risk_score", 2).alias("avg_risk_score"),
         F.sum("fraud_transactions").alias("total_fraud_txns"),
-        _mean("fraud_rate_pct", 4).alias("avg_fraud_rate_pct"),
+        rules.mean_of_rounded("fraud_rate_pct", 4).alias("avg_fraud_rate_pct"),
         F.sum("dark_web_cards").alias("total_dark_web_cards"),
     ).orderBy(*_desc("avg_risk_score"))
 
@@ -133,14 +133,14 @@ def channel_daily(mart: DataFrame) -> DataFrame:
         _mean("avg_amount_mad").alias("avg_amount_mad"),
         F.sum("successful_txns").alias("successful_txns"),
         F.sum("reversals").alias("reversals"),
-        F.round(rules.ratio_pct(F.sum("successful_txns"), F.nullif(total, F.lit(0))), 2).alias("success_rate_pct"),
+        rules.round_to(rules.ratio_pct(F.sum("successful_txns"), F.nullif(total, F.lit(0))), 2).alias("success_rate_pct"),
     ).orderBy(*_desc("transaction_date"), "channel_code")
 
 
 def channel_by_time(mart: DataFrame) -> DataFrame:
     return mart.groupBy("channel_code", "time_of_day").agg(
         F.sum("transactions").alias("total_transactions"),
-        _mean("success_rate_pct").alias("avg_success_rate_pct"),
+        rules.mean_of_rounded("success_rate_pct", 2).alias("avg_success_rate_pct"),
     ).orderBy("channel_code", "time_of_day")
 
 
@@ -166,8 +166,8 @@ def spending_summary(mart: DataFrame) -> DataFrame:
         F.count("*").alias("customer_count"),
         _mean("total_spend_mad").alias("avg_total_spend_mad"),
         _mean("avg_spend_mad").alias("avg_transaction_mad"),
-        _mean("online_ratio_pct").alias("avg_online_ratio_pct"),
-        _mean("spend_to_income_ratio").alias("avg_spend_to_income"),
+        rules.mean_of_rounded("online_ratio_pct", 2).alias("avg_online_ratio_pct"),
+        rules.mean_of_rounded("spend_to_income_ratio", 2).alias("avg_spend_to_income"),
         F.sum("fraud_txns").alias("total_fraud_txns"),
     ).orderBy(*_desc("customer_count"))
 
