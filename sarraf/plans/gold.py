@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sarraf.functions import rules
-from sarraf.operators.dedup import first_per_key
 from sarraf.settings import RunContext
 
 _BY_DAY = ["atm_key", "transaction_date"]
@@ -142,14 +141,14 @@ def channel_comparison(
 
 
 def purchases_by_day(card: DataFrame, literal_night: bool = False) -> DataFrame:
-    """Purchases per customer, day and category: the grain all customer measures build on.
+    """Purchases per customer and day.
 
-    A customer with a huge number of purchases shrinks to at most one row per
-    day and category here, in the map tasks already, so that distinct counts and
-    rankings per customer never see the single purchases.
+    A customer with a huge number of purchases shrinks to one row per day, in
+    the map tasks already.  Active days are then a plain count of rows, with no
+    distinct count over single purchases.
     """
     hour = F.col("transaction_hour")
-    return card.groupBy("customer_key", "transaction_date", "merchant_category_key").agg(
+    return card.groupBy("customer_key", "transaction_date").agg(
         F.count("*").alias("n"),
         F.sum("amount_mad").alias("spend"),
         F.count("amount_mad").alias("amounts"),
@@ -163,17 +162,26 @@ def purchases_by_day(card: DataFrame, literal_night: bool = False) -> DataFrame:
     )
 
 
-def top_category(daily: DataFrame, dim_category: DataFrame) -> DataFrame:
-    """Category group each customer spends most on; equal sums are decided by name."""
+def top_category(card: DataFrame, dim_category: DataFrame) -> DataFrame:
+    """Category group each customer spends most on, and the number of categories used.
+
+    Equal sums are decided by name.  Purchases are summed per customer and
+    category before anything else, so ranking sees a few rows per customer.
+    """
     groups = dim_category.select("merchant_category_key", "category_group")
     spent = (
-        daily.groupBy("customer_key", "merchant_category_key").agg(F.sum("spend").alias("spend"))
+        card.groupBy("customer_key", "merchant_category_key").agg(F.sum("amount_mad").alias("spend"))
         .join(groups, "merchant_category_key", "left")
-        .groupBy("customer_key", F.col("category_group").alias("preferred_category"))
-        .agg(F.sum("spend").alias("category_spend"))
+        .groupBy("customer_key", "category_group")
+        .agg(F.sum("spend").alias("spend"), F.count("merchant_category_key").alias("categories"))
+    )
+    name, total = F.col("category_group"), F.col("spend")
+    rank = F.struct(total.isNull(), -total, name.isNull(), name)        # most spent first, then by name
+    return spent.groupBy("customer_key").agg(
+        F.min_by(name, rank).alias("preferred_category"),
+        F.min_by(total, rank).alias("category_spend"),
+        F.sum("categories").alias("unique_categories"),
     )
-    order = [F.col("category_spend").desc_nulls_last(), F.col("preferred_category").asc_nulls_last()]
-    return first_per_key(spent, ["customer_key"], order)
 
 
 def customer_spending_behavior(
@@ -183,8 +191,7 @@ def customer_spending_behavior(
 
     ``literal_night`` counts night purchases over the empty hour range 23..5.
     """
-    daily = purchases_by_day(card, literal_night)
-    spending = daily.groupBy("customer_key").agg(
+    spending = purchases_by_day(card, literal_night).groupBy("customer_key").agg(
         F.sum("n").alias("total_transactions"),
         F.sum("spend").alias("total_spend_mad"),
         F.try_divide(F.sum("spend"), F.sum("amounts")).alias("avg_spend_mad"),
@@ -195,15 +202,14 @@ def customer_spending_behavior(
         F.sum("night").alias("night_txns"),
         F.sum("online").alias("online_txns"),
         F.sum("fraud").alias("fraud_txns"),
-        F.count_distinct("transaction_date").alias("active_days"),
-        F.count_distinct("merchant_category_key").alias("unique_categories"),
+        F.count("transaction_date").alias("active_days"),
     )
-    measures = [c for c in spending.columns if c != "customer_key"]
+    measures = [c for c in spending.columns if c != "customer_key"] + ["unique_categories"]
     customers = dim_customer.select(
         "customer_key", "client_id", "income_segment", "credit_tier", "age_group", "gender", "country",
         "yearly_income_mad", "credit_score",
     )
-    preferred = top_category(daily, dim_category).select("customer_key", "preferred_category")
+    preferred = top_category(card, dim_category).drop("category_spend")
     combined = customers.join(spending, "customer_key", "left").join(preferred, "customer_key", "left")
     return combined.withColumns(
         {
@@ -224,20 +230,11 @@ def fraud_risk_scoring(
     dim_customer: DataFrame, dim_card: DataFrame, card: DataFrame, ctx: RunContext
 ) -> DataFrame:
     """Customer: fraud rate, card risk and a score from 0 to 100."""
-    # One row per customer and day first, as in purchases_by_day.
-    daily = card.groupBy("customer_key", "transaction_date").agg(
-        F.count("*").alias("n"),
-        rules.count_if(F.col("is_fraud")).alias("fraud"),
-        F.sum("amount_mad").alias("amount"),
-        F.count("amount_mad").alias("amounts"),
-        F.max("amount_mad").alias("most"),
-        rules.count_if(F.col("is_online")).alias("online"),
-    )
-    txns = daily.groupBy("customer_key").agg(
+    txns = purchases_by_day(card).groupBy("customer_key").agg(
         F.sum("n").alias("total_transactions"),
         F.sum("fraud").alias("fraud_transactions"),
-        F.sum("amount").alias("total_amount_mad"),
-        F.try_divide(F.sum("amount"), F.sum("amounts")).alias("avg_amount_mad"),
+        F.sum("spend").alias("total_amount_mad"),
+        F.try_divide(F.sum("spend"), F.sum("amounts")).alias("avg_amount_mad"),
         F.max("most").alias("max_amount_mad"),
         F.sum("online").alias("online_transactions"),
         F.count("transaction_date").alias("active_days"),

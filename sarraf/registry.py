@@ -209,8 +209,8 @@ _register("primary_card", lambda wh: dims.primary_cards(wh.table("dim_card")))
 _register(
     "top_category",
     lambda wh: gold.top_category(
-        gold.purchases_by_day(wh.table("fact_card_transactions")), wh.table("dim_merchant_category")
-    ),
+        wh.table("fact_card_transactions"), wh.table("dim_merchant_category")
+    ).drop("unique_categories"),
 )
 _register(
     "atm_performance_full_calendar",
