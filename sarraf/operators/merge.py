@@ -112,3 +112,17 @@ def _clear_emptied(result: DataFrame, path: str, partition: str, touched: list)
             folder = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
             if tables.exists(result.sparkSession, f"{path}/{partition}={folder}"):
                 empty.write.mode("overwrite").parquet(f"{path}/{partition}={folder}")
+
+
+def merge_into_delta(spark: SparkSession, path: str, source: DataFrame, key: str) -> None:
+    """The same upsert for a Delta table, where the Delta package is installed."""
+    from delta.tables import DeltaTable
+
+    if not DeltaTable.isDeltaTable(spark, path):
+        source.write.format("delta").save(path)
+        return
+    (
+        DeltaTable.forPath(spark, path).alias("t")
+        .merge(source.alias("s"), F.col(f"t.{key}") == F.col(f"s.{key}"))
+        .whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
+    )

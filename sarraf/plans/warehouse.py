@@ -62,13 +62,17 @@ class Warehouse:
             self._tables[name] = frame
         return self._tables[name]
 
+    def use(self, name: str, frame: DataFrame) -> None:
+        """Take a table as given instead of making it."""
+        self._tables[name] = frame
+
     def build(self, *names: str) -> None:
         for name in names or MODELS:
             self.table(name)
 
     def fact(self, name: str, *links: str) -> DataFrame:
         """A fact for a mart that uses the keys of ``links`` only."""
-        if self.root:
+        if self.root or name in self._tables:
             return self.table(name)
         return FACTS[name](self, links)
 

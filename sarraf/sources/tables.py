@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -70,7 +71,15 @@ def write(df: DataFrame, path: str, partition: str | None = None, only_touched:
     writer.mode("overwrite").option("compression", "snappy").option(
         "partitionOverwriteMode", "dynamic" if only_touched else "static"
     ).parquet(path)
-    return seen.get["rows"]
+    return _observed_rows(seen)
+
+
+def _observed_rows(seen: Observation) -> int:
+    """Observed count.  Spark drops the observation from a plan it finds empty and then has no row to give."""
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError:
+        return 0
 
 
 def stage(df: DataFrame, path: str) -> tuple[DataFrame, int]:
