@@ -7,7 +7,7 @@ landing -> bronze (rebuilt) -> silver (merged by key, bad rows set aside)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sarraf.operators import health
 from sarraf.operators.merge import high_watermark, merge_into, rows_to_load
@@ -52,16 +52,16 @@ class Lakehouse:
         return tables.exists(self.spark, self.path(layer, table))
 
     def _warehouse(self) -> Warehouse:
-        """Plans over what is stored now."""
+        """Plans over what is stored now; a stored table is opened when a plan uses it."""
         names = [raw for _, raw in SILVER.values()] + ["raw_fraud_labels"]
-        wh = Warehouse(self.spark, {n: lambda n=n: self.read("bronze", n) for n in names}, self.ctx)
-        for layer, stored in (
-            ("silver", [*SILVER, "pan_customer_map_silver"]), ("marts", [*DIMENSIONS, *FACTS, *MARTS]),
-        ):
-            for name in stored:
-                if self.has(layer, name):
-                    wh.use(name, self.read(layer, name))
-        return wh
+
+        def stored(name: str) -> DataFrame | None:
+            layer = "silver" if name in SILVER or name == "pan_customer_map_silver" else "marts"
+            return self.read(layer, name) if MODELS[name].stored and self.has(layer, name) else None
+
+        return Warehouse(
+            self.spark, {n: lambda n=n: self.read("bronze", n) for n in names}, self.ctx, existing=stored
+        )
 
     def ingest(self, landing_root: str) -> dict[str, int]:
         """Rebuild bronze from the landing folders; a table that has not landed counts 0."""
@@ -126,17 +126,25 @@ class Lakehouse:
         stored += [("marts", n) for n in (*DIMENSIONS, *FACTS, *MARTS)]
         tables.register_views({n: self.read(layer, n) for layer, n in stored if self.has(layer, n)})
 
+    def quarantined(self, entity: str) -> DataFrame:
+        """Bad rows of an entity of all batches; there may be none, so the columns are given."""
+        raw = next(raw for name, raw in SILVER.values() if name == entity)
+        plan = silver.quarantine(silver.ENTITIES[entity], self.read("bronze", raw), self.ctx)
+        return tables.read_or_empty(
+            self.spark, f"{self.root}/quarantine/{entity}", plan.withColumn("_batch", F.lit("")).schema
+        )
+
     def health(self) -> DataFrame:
         """Rows, columns and latest load of every stored table, quarantine included."""
         layers = {
             "bronze": [raw for _, raw in SILVER.values()],
             "silver": [*SILVER, "pan_customer_map_silver"],
             "marts": [*DIMENSIONS, *FACTS, *MARTS],
-            "quarantine": list(silver.ENTITIES),
         }
-        return health.layer_health(
-            {
-                layer: {n: self.read(layer, n) for n in names if self.has(layer, n)}
-                for layer, names in layers.items()
-            }
-        )
+        stored = {
+            layer: {n: self.read(layer, n) for n in names if self.has(layer, n)} for layer, names in layers.items()
+        }
+        stored["quarantine"] = {
+            entity: self.quarantined(entity) for entity, raw in SILVER.values() if self.has("bronze", raw)
+        }
+        return health.layer_health(stored)

@@ -36,12 +36,14 @@ class Warehouse:
         raw: Mapping[str, Callable[[], DataFrame]],
         ctx: RunContext | None = None,
         root: str | None = None,
+        existing: Callable[[str], DataFrame | None] | None = None,
     ):
         self.spark = spark
         self.ctx = ctx or RunContext()
         self.root = root
         self.rows_written: dict[str, int] = {}
         self._raw = raw
+        self._existing = existing
         self._tables: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
@@ -53,6 +55,10 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         """A table to build on: written first if this warehouse stores it."""
+        if name not in self._tables and self._existing:
+            found = self._existing(name)
+            if found is not None:
+                self._tables[name] = found
         if name not in self._tables:
             frame, model = self.plan(name), MODELS[name]
             if self.root and model.stored:
@@ -72,7 +78,7 @@ class Warehouse:
 
     def fact(self, name: str, *links: str) -> DataFrame:
         """A fact for a mart that uses the keys of ``links`` only."""
-        if self.root or name in self._tables:
+        if self.root or self._existing:
             return self.table(name)
         return FACTS[name](self, links)
 
