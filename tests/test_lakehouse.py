@@ -40,13 +40,10 @@ def house(spark, landed, tmp_path_factory):
     return house
 
 
-@pytest.mark.parametrize("mart", MARTS)
+@pytest.mark.parametrize("mart", ["atm_performance", "fraud_risk_scoring", "governorate_summary"])
 def test_marts_equal_the_lazy_plan(spark, house, mart):
     lazy = Warehouse(spark, bankdata.raw_tables(spark, SF_DIR))
-    if mart in ("atm_performance", "governorate_summary", "fraud_risk_scoring"):
-        assert business_rows(house.read("marts", mart)) == business_rows(lazy.plan(mart))
-    else:
-        assert house.read("marts", mart).count() == lazy.plan(mart).count()
+    assert business_rows(house.read("marts", mart)) == business_rows(lazy.plan(mart))
 
 
 def test_second_run_changes_nothing(spark, house, landed):
@@ -64,9 +61,16 @@ def test_second_run_changes_nothing(spark, house, landed):
     assert later.read("snapshots", "customers_snapshot").count() == history
 
 
-def test_full_load_of_facts(house):
+def test_full_load_of_facts(house, monkeypatch):
+    from sarraf.plans import lakehouse
+
+    monkeypatch.setattr(lakehouse, "DIMENSIONS", [])
+    monkeypatch.setattr(lakehouse, "MARTS", [])
+    monkeypatch.setattr(
+        lakehouse, "FACT_LOADS", {"fact_wallet_transactions": ("stg_wallet_transactions", "wallet_transaction_key")}
+    )
     before = house.read("marts", "fact_wallet_transactions").count()
-    assert house.refresh_marts(full=True)["fact_wallet_transactions"] == before
+    assert house.refresh_marts(full=True) == {"fact_wallet_transactions": before}
     assert house.read("marts", "fact_wallet_transactions").count() == before
 
 

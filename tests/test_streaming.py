@@ -94,3 +94,28 @@ def test_raw_schemas_fit_the_silver_entities(spark, ctx):
         empty = spark.createDataFrame([], f"{RAW_SCHEMAS[raw]}, {BATCH_COLUMNS}")
         built = silver.build(silver.ENTITIES[entity], empty.drop("batch_id", "batch_num", "ingested_at", "source_table"), ctx)
         assert silver.ENTITIES[entity].key in built.columns and built.count() == 0
+
+
+def test_silver_from_a_stream_equals_the_batch(spark, tmp_path, ctx):
+    from sarraf.plans import silver
+    from sarraf.streaming.silver import keep_silver
+
+    folder, path, bad, checkpoint = (str(tmp_path / n) for n in ("in", "silver", "bad", "checkpoint"))
+    schema = "refnum string, termid string, date string, amount string, respcode int"
+    data = [
+        (f"r{i % 25}", None if i % 11 == 0 else f"atm{i % 4}", f"2024-01-{1 + i % 9:02d}", str(i - 3), i % 3)
+        for i in range(120)
+    ]
+    for part in range(3):
+        deliver(spark, folder, data[part::3], str(part), schema)
+    raw = spark.createDataFrame(data, schema)
+    entity = silver.CARD_TRANSACTIONS
+    keep_silver(run.open_files(spark, folder, raw.schema, files_per_batch=1), entity, path, bad, checkpoint, ctx)
+    columns = ["refnum", "terminal_id", "transaction_date", "amount_mad", "resp_code"]
+    expected = silver.build(entity, raw, ctx)
+
+    def plain(frame):
+        return sorted(tuple(r) for r in frame.select(columns).collect())
+
+    assert plain(tables.read(spark, path)) == plain(expected)
+    assert tables.read(spark, f"{bad}/card_transactions").count() == silver.quarantine(entity, raw, ctx).count()
