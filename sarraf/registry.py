@@ -16,6 +16,7 @@ from sarraf.functions import rules, text
 from sarraf.operators import changes, conform, dedup, health, history, merge, quality, quarantine
 from sarraf.plans import dims, gold, serve, silver
 from sarraf.plans.contracts import CONTRACTS
+from sarraf.plans.lakehouse import SILVER
 from sarraf.plans.warehouse import FACTS, MODELS, Warehouse, fraud_labels
 from sarraf.settings import RunContext
 from sarraf.sources import bankdata, labels, landing, run_results, tables
@@ -332,15 +333,11 @@ _register("cdc_apply", _changed_wallets)
 
 # --- quality -----------------------------------------------------------------------
 
+_RAW_OF = {entity: raw for entity, raw in SILVER.values()}
+
+
 def _quarantined(wh: Warehouse, entity: str) -> DataFrame:
-    raw = {
-        "atm_master": "raw_atm_master", "customers": "raw_customers", "cards": "raw_cards",
-        "card_transactions": "raw_card_transactions", "wallet_transactions": "raw_wallet_transactions",
-        "out_of_cash": "raw_out_of_cash", "kaggle_transactions": "raw_kaggle_transactions",
-    }[entity]
-    if entity == "card_transactions":
-        return silver.card_transactions_quarantine(wh.raw(raw), wh.table("silver_customers"), wh.ctx)
-    return silver.quarantine(silver.ENTITIES[entity], wh.raw(raw), wh.ctx)
+    return silver.quarantine(silver.ENTITIES[entity], wh.raw(_RAW_OF[entity]), wh.ctx)
 
 
 _register("quarantine_atm_master", lambda wh: _quarantined(wh, "atm_master"))
@@ -351,7 +348,12 @@ _register(
         "card_id", "client_id", "card_brand", "card_type", "acct_open_date", "_reason", "_entity"
     ),
 )
-_register("quarantine_card_transactions", lambda wh: _quarantined(wh, "card_transactions"))
+_register(
+    "quarantine_card_transactions",
+    lambda wh: silver.card_transactions_quarantine(
+        wh.raw("raw_card_transactions"), wh.table("silver_customers"), wh.ctx
+    ),
+)
 _register("quarantine_wallet", lambda wh: _quarantined(wh, "wallet_transactions"))
 _register("quarantine_out_of_cash", lambda wh: _quarantined(wh, "out_of_cash"))
 _register(

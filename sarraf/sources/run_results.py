@@ -18,12 +18,11 @@ def read_run_results(spark: SparkSession, path: str) -> DataFrame:
 def flatten_run_results(documents: DataFrame) -> DataFrame:
     """One row per node: the parts of its id, status, duration, failures, message."""
     nodes = documents.select(F.explode("results").alias("r")).select("r.*")
-    parts = F.split("unique_id", r"\.")
-    dotted = F.col("unique_id").contains(".")
+    uid = F.col("unique_id")
     return nodes.select(
-        F.when(dotted, F.element_at(parts, -1)).otherwise(F.col("unique_id")).alias("node_id"),
-        F.when(dotted, F.element_at(parts, -2)).otherwise(F.col("unique_id")).alias("node_name"),
-        F.when(dotted, F.element_at(parts, 1)).otherwise(F.lit("unknown")).alias("type"),
+        F.substring_index(uid, ".", -1).alias("node_id"),
+        F.substring_index(F.substring_index(uid, ".", -2), ".", 1).alias("node_name"),
+        F.when(uid.contains("."), F.substring_index(uid, ".", 1)).otherwise(F.lit("unknown")).alias("type"),
         "status",
         F.round(F.coalesce("execution_time", F.lit(0.0)), 2).alias("duration"),
         F.coalesce("failures", F.lit(0)).alias("failures"),
