@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -59,3 +59,16 @@ def pick_first(df: DataFrame, *names: str) -> Column:
         if name in df.columns:
             return F.col(name).cast("string")
     return F.lit(None).cast("string")
+
+
+def union_all(frames: Iterable[DataFrame]) -> DataFrame:
+    """All rows of frames with the same columns.
+
+    Frames are united in pairs, pairs in pairs and so on: a chain of n unions
+    would have Spark analyse a growing plan n times.
+    """
+    left = list(frames)
+    while len(left) > 1:
+        paired = [a.unionByName(b) for a, b in zip(left[::2], left[1::2])]
+        left = paired + left[len(paired) * 2:]
+    return left[0]

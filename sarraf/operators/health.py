@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sarraf.operators.conform import union_all
+
 LOAD_TIMES = ("_loaded_at", "_silver_loaded_at", "_bronze_loaded_at", "_created_at")
 
 
@@ -22,14 +23,14 @@ def table_health(df: DataFrame, layer: str, table: str) -> DataFrame:
 def layer_health(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
     """One row per table of each layer: one aggregate per table, all in one job."""
     rows = [table_health(df, layer, name) for layer, tables in layers.items() for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, rows)
+    return union_all(rows)
 
 
 def quarantine_counts(quarantined: Mapping[str, DataFrame]) -> DataFrame:
     """Bad rows per entity and reason."""
     reasons = [df.select("_entity", "_reason") for df in quarantined.values()]
     return (
-        reduce(DataFrame.unionByName, reasons)
+        union_all(reasons)
         .groupBy(F.col("_entity").alias("entity"), F.col("_reason").alias("reason"))
         .agg(F.count("*").alias("n_rows"))
     )
@@ -37,12 +38,9 @@ def quarantine_counts(quarantined: Mapping[str, DataFrame]) -> DataFrame:
 
 def watermarks(tables: Mapping[str, DataFrame], column: str) -> DataFrame:
     """Latest value of a column per table."""
-    return reduce(
-        DataFrame.unionByName,
-        [
-            df.agg(F.max(column).alias("watermark")).select(F.lit(name).alias("table_name"), "watermark")
-            for name, df in tables.items()
-        ],
+    return union_all(
+        df.agg(F.max(column).alias("watermark")).select(F.lit(name).alias("table_name"), "watermark")
+        for name, df in tables.items()
     )
 
 

@@ -13,7 +13,9 @@ _FILLER = r'^[\s{}\[\]]*$'
 def explode_labels(objects: DataFrame, column: str) -> DataFrame:
     """One row per entry of JSON objects held as text, one object per row."""
     pairs = F.from_json(F.col(column), "map<string,string>")
-    return objects.select(F.explode(pairs).alias("transaction_id", "label")).select(
+    # explode would put a size check of the parsed map before itself, parsing the text three times.
+    entries = objects.select(F.explode_outer(pairs).alias("transaction_id", "label"))
+    return entries.filter(F.col("transaction_id").isNotNull()).select(
         "transaction_id", F.coalesce(is_yes(F.col("label")), F.lit(False)).alias("is_fraud")
     )
 
