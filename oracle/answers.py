@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.tables import TABLES, with_tables
+from oracle.tables import with_tables
 from sarraf.plans.contracts import CONTRACTS
 
 RUN_TS = "'2024-06-01 00:00:00.000000'"

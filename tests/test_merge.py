@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from sarraf.operators import changes, merge
 from sarraf.sources import tables

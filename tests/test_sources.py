@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from sarraf.functions import fixed_values as fv
 from sarraf.operators import health

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from sarraf.operators.dedup import latest_per_key
 from sarraf.sources import tables
