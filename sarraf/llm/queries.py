@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from sarraf.llm import mixing, quality, sharding
+from sarraf.llm import mixing, neardup, quality, sharding
 
 QUERIES = {
     "op1_line_frequency": quality.op1_line_frequency,
+    "op2_lsh_forest": neardup.op2_lsh_forest,
     "op6_two_pass_shuffle": sharding.op6_two_pass_shuffle,
     "op10_sainte_lague_mix": mixing.op10_sainte_lague_mix,
 }
 
-ANSWERS = {"op1_line_frequency": quality.OP1_SQL}
+ANSWERS = {
+    "op1_line_frequency": quality.OP1_SQL,
+    "op2_lsh_forest": neardup.OP2_SQL,
+}
