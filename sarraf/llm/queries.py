@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from sarraf.llm import mixing, neardup, quality, sharding
+from sarraf.llm import chat, mixing, neardup, pii, quality, sharding
 
 QUERIES = {
     "op1_line_frequency": quality.op1_line_frequency,
     "op2_lsh_forest": neardup.op2_lsh_forest,
+    "op4_columnar_chat": chat.op4_columnar_chat,
+    "op5_anchor_expansion": pii.op5_anchor_expansion,
     "op6_two_pass_shuffle": sharding.op6_two_pass_shuffle,
     "op10_sainte_lague_mix": mixing.op10_sainte_lague_mix,
 }
@@ -14,4 +16,5 @@ QUERIES = {
 ANSWERS = {
     "op1_line_frequency": quality.OP1_SQL,
     "op2_lsh_forest": neardup.OP2_SQL,
+    "op4_columnar_chat": chat.OP4_SQL,
 }
