@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from sarraf.llm import chat, mixing, neardup, pii, quality, sharding
+from sarraf.llm import chat, mixing, neardup, pii, quality, sharding, tokens
 
 QUERIES = {
     "op1_line_frequency": quality.op1_line_frequency,
     "op2_lsh_forest": neardup.op2_lsh_forest,
+    "op3_distinct_words": tokens.op3_distinct_words,
     "op4_columnar_chat": chat.op4_columnar_chat,
     "op5_anchor_expansion": pii.op5_anchor_expansion,
     "op6_two_pass_shuffle": sharding.op6_two_pass_shuffle,
