@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sarraf.llm import chat, mixing, neardup, pages, pii, quality, sharding, tokens
+from sarraf.llm import chat, mixing, neardup, pages, pii, quality, sharding, tokens, vectors
 
 QUERIES = {
     "op1_line_frequency": quality.op1_line_frequency,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_columnar_chat": chat.op4_columnar_chat,
     "op5_anchor_expansion": pii.op5_anchor_expansion,
     "op6_two_pass_shuffle": sharding.op6_two_pass_shuffle,
+    "op8_itq_hamming": vectors.op8_itq_hamming,
     "op9_wrapper_induction": pages.op9_wrapper_induction,
     "op10_sainte_lague_mix": mixing.op10_sainte_lague_mix,
 }
@@ -19,4 +20,5 @@ ANSWERS = {
     "op1_line_frequency": quality.OP1_SQL,
     "op2_lsh_forest": neardup.OP2_SQL,
     "op4_columnar_chat": chat.OP4_SQL,
+    "op8_itq_hamming": vectors.OP8_SQL,
 }
