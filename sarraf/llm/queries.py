@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sarraf.llm import chat, mixing, neardup, pages, pii, quality, sharding, tokens, vectors
+from sarraf.llm import chat, mixing, neardup, pages, pii, quality, sharding, suffixes, tokens, vectors
 
 QUERIES = {
     "op1_line_frequency": quality.op1_line_frequency,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_columnar_chat": chat.op4_columnar_chat,
     "op5_anchor_expansion": pii.op5_anchor_expansion,
     "op6_two_pass_shuffle": sharding.op6_two_pass_shuffle,
+    "op7_suffix_merge": suffixes.op7_suffix_merge,
     "op8_itq_hamming": vectors.op8_itq_hamming,
     "op9_wrapper_induction": pages.op9_wrapper_induction,
     "op10_sainte_lague_mix": mixing.op10_sainte_lague_mix,
