@@ -4,23 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sarraf.llm import mixing, quality
+from sarraf.llm import mixing, neardup, pii, quality, tokens
 from sarraf.llm.common import stored, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go, template lines of the others too."""
+    """Rejected documents go; the others lose their template lines."""
     return quality.clean(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return neardup.keep_one(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind."""
+    return pii.redact(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target weights of their sources take them."""
     return mixing.mix(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("source_mix", source_mix)]
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids and the number of tokens, with digests of the ids and of the decoded text."""
+    encoded = tokens.encode(docs)
+    return tokens.digests(encoded, "ids")
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("source_mix", source_mix),
+    ("token_ids", token_ids),
+]
 
-#: Not expressible: tests compare with a plain version.
+#: Forest, anchors and merges have no SQL form: the tests compare with a plain version.
 ORACLE_SQL = None
 
 

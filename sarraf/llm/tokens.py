@@ -252,9 +252,10 @@ def encode(docs: DataFrame, path: str | None = None, block_bytes: int = BLOCK_BY
     return rows.mapInArrow(_put_in_place(model), "doc_id long, ids array<int>, decoded string")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_tokens and SHA-256 of ids and decoded text, with ``more`` columns of ``encoded``."""
     return encoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        "doc_id", *more, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
