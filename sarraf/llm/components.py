@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from sarraf.llm.common import discard, stored
@@ -44,3 +45,14 @@ def components(edges: DataFrame) -> DataFrame:
         for large in (True, False):
             last, now = now, _star(now, large)
             discard(last)
+
+
+def smallest_reachable(links: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Smallest name in the component of each node of a small graph, given as a matrix of links."""
+    label = names.copy()
+    while True:
+        near = np.where(links, label[None, :], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
+        new = np.minimum(label, near)
+        if (new == label).all():
+            return label
+        label = new

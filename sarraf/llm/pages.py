@@ -56,6 +56,9 @@ CLOSES = {
     "option": (("option",), ("select",)), "body": (("head",), ("html",)),
 }
 P_SCOPE = frozenset("table td th caption button object template html".split())
+INLINE = frozenset(
+    "a abbr b bdi bdo big cite code del em font i ins kbd label mark q s samp small span strike strong sub sup tt u var".split()
+)
 DROPPED = frozenset(
     "nav footer aside form script style noscript template iframe svg math button select textarea head title dialog menu "
     "object audio video canvas noembed noframes".split()
@@ -149,7 +152,7 @@ def blocks(page: str | None) -> list[tuple[str, str, bool]]:
                 if stack[k].tag == tag:
                     pop_to(k)
                     break
-                if tag not in BLOCK and stack[k].tag in BLOCK:
+                if tag in INLINE and stack[k].tag in BLOCK:
                     break
             continue
         if tag in BLOCK:

@@ -2,8 +2,8 @@
 
 Vectors are scaled to length 1 and equal ones become one class.  Iterative
 quantisation learns, on a bounded sample, rotations under which the signs of a
-vector (against the median of each direction) are balanced bits that lose
-little.  The codes are cut into substrings; each substring of each rotation is
+centred vector (against the median of each direction) are balanced bits that
+lose little.  The codes are cut into substrings; each substring of each rotation is
 one Hamming table.  Vectors that share a substring are candidates, and a task
 reranks the candidates of a bucket with the original vectors in double
 precision, as one matrix product per pair of blocks.
@@ -32,13 +32,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sarraf.llm.common import same, shuffle_tasks, stored, table
-from sarraf.llm.components import components
+from sarraf.llm.components import components, smallest_reachable
 
 COSINE = 0.9
 #: Vectors the rotations are learned on; all vectors are indexed.
 SAMPLE = 8192
 ROUNDS = 12
 MISS = 1e-3
+#: Length of the mean of the sample up to which vectors are centred.
+CENTRED = 0.35
 #: Vectors of a bucket on average.
 BUCKET = 32
 #: Vectors compared with each other in one step.
@@ -58,22 +60,31 @@ def learn_rotation(sample: np.ndarray, seed: int, rounds: int = ROUNDS) -> np.nd
 
 
 class Index:
-    """Rotations, medians and the cut into tables."""
+    """Rotations, thresholds and the cut into tables.
+
+    Vectors are centred and cut at medians unless their mean is so long that
+    this would part close vectors; then the signs themselves are the bits.  The
+    number of tables allows for what centring does to the angle of a pair at
+    the threshold in the worst direction, that of the mean.
+    """
 
     def __init__(self, sample: np.ndarray, n: int, cosine: float, seed: int = 5):
         d = sample.shape[1]
         self.bits = max(1, min(d, 30, math.ceil(math.log2(max(n, 2) / BUCKET))))
-        miss = 1 - (1 - math.acos(cosine) / math.pi) ** self.bits
-        wanted = math.ceil(math.log(MISS) / math.log(miss)) if self.bits > 1 or miss < 1 else 1
-        cuts = d // self.bits
-        self.mean = sample.mean(axis=0)
+        mean = sample.mean(axis=0)
+        long = float(np.linalg.norm(mean))
+        centre = long <= CENTRED
+        self.mean = mean if centre else np.zeros(d)
+        seen = (cosine - 2 * long + long**2) / (1 - 2 * long + long**2) if centre else cosine
+        miss = 1 - (1 - math.acos(seen) / math.pi) ** self.bits
+        wanted = math.ceil(math.log(MISS) / math.log(miss))
+        self.cuts = d // self.bits
         centred = sample - self.mean
         self.turns, self.medians = [], []
-        for i in range(-(-wanted // cuts)):
+        for i in range(-(-wanted // self.cuts)):
             self.turns.append(learn_rotation(centred, seed + i))
-            self.medians.append(np.median(centred @ self.turns[-1], axis=0))
-        self.tables = min(wanted, cuts * len(self.turns))
-        self.cuts = cuts
+            self.medians.append(np.median(centred @ self.turns[-1], axis=0) if centre else np.zeros(d))
+        self.tables = min(wanted, self.cuts * len(self.turns))
 
     def keys(self, vectors: np.ndarray) -> np.ndarray:
         """Substring of every table, one row per vector."""
@@ -125,17 +136,6 @@ def _index_rows(index: Index):
     return run
 
 
-def _smallest_reachable(links: np.ndarray, names: np.ndarray) -> np.ndarray:
-    """Smallest name in the component of each node of a small graph."""
-    label = names.copy()
-    while True:
-        near = np.where(links, label[None, :], np.iinfo(np.int64).max).min(axis=1)
-        new = np.minimum(label, near)
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _linked(cosine: float):
     """For each bucket, or pair of blocks of a crowded one: per vector the number of links and an edge to its component."""
 
@@ -163,7 +163,7 @@ def _linked(cosine: float):
         some = counts > 0
         if not some.any():
             return None
-        label = _smallest_reachable(links, reps)
+        label = smallest_reachable(links, reps)
         return pa.RecordBatch.from_arrays(
             [pa.array(reps[some]), pa.array(label[some]), pa.array(counts[some].astype(np.int64))], ["a", "b", "links"]
         )
