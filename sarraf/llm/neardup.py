@@ -13,10 +13,11 @@ full sets.
 
 Candidates of a crowded region are not listed pair by pair: each document is
 paired with the smallest similar one first.  When the confirmed links have been
-joined to components, what a crowded region still has of similar documents in
-different components is listed and confirmed as well, so no link between
-components is left out.  Documents with equal signatures beyond the region size
-are paired with the smallest of them.
+joined to components, a crowded region whose documents are in several of them is
+compared once more, now on the full sets and all with all inside the task, so no
+link between components is left out; it gives one edge per document.
+Documents with equal signatures beyond the region size are paired with the
+smallest of them.
 
 Nulls: a null, empty or wordless text is a class of its own per row and linked
 with nothing; a null doc_id is never linked.  Rows with the same doc_id are one
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sarraf.llm.common import discard, same, shuffle_tasks, stored, table
-from sarraf.llm.components import components
+from sarraf.llm.components import components, smallest_reachable
 
 WORDS = 5
 PERCENT = 80
@@ -46,7 +47,7 @@ REGION = 1024
 #: Regions up to this size list all their candidates.
 SMALL = 6
 #: Prefix lengths a crowded region is divided by, one after the other.
-DEPTHS = (8, 16, 32, SIGNATURE)
+DEPTHS = (6, 9, 13, 20, 40, SIGNATURE)
 #: Share of minima that candidates agree on: 4 standard deviations below 0.8.
 AGREE = int(SIGNATURE * (0.8 - 4 * (0.8 * 0.2 / SIGNATURE) ** 0.5))
 #: Document ids that may be broadcast (8 bytes each).
@@ -134,20 +135,17 @@ def _similar(sig: np.ndarray, n: np.ndarray, a: slice, percent: int) -> np.ndarr
     return (agree >= AGREE) & (100 * low >= percent * high)
 
 
-def _region_pairs(doc: np.ndarray, n: np.ndarray, sig: np.ndarray, comp: np.ndarray | None, percent: int):
+def _region_pairs(doc: np.ndarray, n: np.ndarray, sig: np.ndarray, percent: int):
     """Candidate pairs (a, b) of one region; whether pairs were held back."""
     order = np.argsort(doc, kind="stable")
     doc, n, sig = doc[order], n[order], sig[order]
-    comp = None if comp is None else comp[order]
     found_a, found_b, held = [], [], False
     step = max(1, (1 << 22) // (len(doc) * SIGNATURE) + 1)
     for at in range(0, len(doc), step):
         rows = slice(at, min(at + step, len(doc)))
         like = _similar(sig, n, rows, percent)
         like &= np.arange(len(doc))[None, :] < np.arange(at, rows.stop)[:, None]
-        if comp is not None:
-            like &= comp[rows, None] != comp[None, :]
-        elif len(doc) > SMALL:
+        if len(doc) > SMALL:
             held = held or bool((like.sum(axis=1) > 1).any())
             first = like.argmax(axis=1)
             only = np.zeros_like(like)
@@ -159,31 +157,12 @@ def _region_pairs(doc: np.ndarray, n: np.ndarray, sig: np.ndarray, comp: np.ndar
     return np.concatenate(found_a), np.concatenate(found_b), held
 
 
-def _candidates(percent: int, known: bool):
-    """Pairs of each region of the sorted rows; crowded regions with pairs held back come out again, row by row."""
+def _by_region(answer):
+    """Calls ``answer`` with all rows of each region; rows are sorted by region."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         key = None
-
-        def flush():
-            whole = pa.Table.from_batches(held)
-            if whole.num_rows < 2:
-                return
-            doc = whole.column("doc").to_numpy()
-            sig = np.frombuffer(b"".join(whole.column("sig").to_pylist()), np.uint8).reshape(-1, SIGNATURE)
-            comp = whole.column("component").to_numpy() if known else None
-            a, b, more = _region_pairs(doc, whole.column("n").to_numpy(), sig, comp, percent)
-            none = pa.nulls(len(a), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a), pa.array(b), none, none, none, pa.nulls(len(a), pa.binary())],
-                ["a", "b", "region", "doc", "n", "sig"],
-            )
-            if more:
-                none = pa.nulls(len(doc), pa.int64())
-                columns = [whole.column(c).combine_chunks() for c in ("region", "doc", "n", "sig")]
-                yield pa.RecordBatch.from_arrays([none, none, *columns], ["a", "b", "region", "doc", "n", "sig"])
-
         for batch in batches:
             regions = batch.column("region").to_numpy()
             edges = [0, *(np.flatnonzero(np.diff(regions)) + 1), batch.num_rows]
@@ -191,16 +170,69 @@ def _candidates(percent: int, known: bool):
                 if x == y:
                     continue
                 if held and regions[x] != key:
-                    yield from flush()
+                    yield from answer(pa.Table.from_batches(held))
                     held.clear()
                 key = regions[x]
                 held.append(batch.slice(x, y - x))
         if held:
-            yield from flush()
+            yield from answer(pa.Table.from_batches(held))
 
     return run
 
 
+def _candidates(percent: int):
+    """Pairs of each region; of regions that hold pairs back, the members as well."""
+
+    def answer(whole: pa.Table) -> Iterator[pa.RecordBatch]:
+        if whole.num_rows < 2:
+            return
+        doc = whole.column("doc").to_numpy()
+        sig = np.frombuffer(b"".join(whole.column("sig").to_pylist()), np.uint8).reshape(-1, SIGNATURE)
+        a, b, more = _region_pairs(doc, whole.column("n").to_numpy(), sig, percent)
+        none = pa.nulls(len(a), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), none, none], ["a", "b", "region", "doc"])
+        if more:
+            none = pa.nulls(len(doc), pa.int64())
+            columns = [whole.column(c).combine_chunks() for c in ("region", "doc")]
+            yield pa.RecordBatch.from_arrays([none, none, *columns], ["a", "b", "region", "doc"])
+
+    return _by_region(answer)
+
+
+def _common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, item, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(times > 1) - 1
+    several = times[item] > 1
+    owner, item = owner[several], number[item[several]]
+    order = np.argsort(item, kind="stable")
+    owner, item = owner[order], item[order]
+    common = np.zeros((len(sets), len(sets)), np.int64)
+    for at in range(0, int(item[-1]) + 1 if len(item) else 0, 4096):
+        x, y = np.searchsorted(item, [at, at + 4096])
+        held = np.zeros((len(sets), 4096), np.float32)
+        held[owner[x:y], item[x:y] - at] = 1
+        common += (held @ held.T).astype(np.int64)
+    return common
+
+
+def _crowd_links(percent: int):
+    """Edges between documents of different components that a region links, one per document."""
+
+    def answer(whole: pa.Table) -> Iterator[pa.RecordBatch]:
+        doc, comp = whole.column("doc").to_numpy(), whole.column("component").to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in whole.column("shingles").to_pylist()]
+        n = np.array([len(x) for x in sets])
+        common = _common_counts(sets)
+        links = (100 * common >= percent * (n[:, None] + n[None, :] - common)) & (comp[:, None] != comp[None, :])
+        label = smallest_reachable(links, doc)
+        some = label != doc
+        yield pa.RecordBatch.from_arrays([pa.array(label[some]), pa.array(doc[some])], ["a", "b"])
+
+    return _by_region(answer)
+
+
 def _compared(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,16 +264,8 @@ def _sets(width: int):
     return run
 
 
-def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough.
-
-    Only documents of a pair are read into sets; the pairs meet the sets in two
-    joins that Spark splits where a document has very many pairs.
-    """
-    ids = stored(
-        pairs.select(F.explode(F.array("a", "b")).alias("_id")).groupBy("_id").agg(F.lit(1).alias("_1")).drop("_1"),
-        "near-ids",
-    )
+def _sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(id, shingles) of the classes named in ``ids`` (_id); only their documents are read into sets."""
     few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     texts = docs.select("doc_id", "text").join(few, F.col("doc_id") == F.col("_id"), "left_semi")
     sets = texts.mapInArrow(_sets(width), "id long, set_print binary, shingles binary")
@@ -249,7 +273,17 @@ def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int
     own = classes.select(F.col("rep").alias("_rep"), F.col("set_print").alias("_print"))
     own = own.join(few, F.col("_rep") == F.col("_id"), "left_semi")
     sets = sets.join(own, (F.col("id") == F.col("_rep")) & (F.col("set_print") == F.col("_print")))
-    sets = stored(sets.select("id", "shingles").dropDuplicates(["id"]), "near-sets")
+    return stored(sets.select("id", "shingles").dropDuplicates(["id"]), "near-sets")
+
+
+def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough.
+
+    The pairs meet the sets in two joins that Spark splits where a document has very many pairs.
+    """
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("_id")).groupBy("_id").agg(F.lit(1).alias("_1")).drop("_1")
+    ids = stored(ids, "near-ids")
+    sets = _sets_of(docs, classes, ids, width)
     one = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
     two = one.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
     out = stored(two.mapInArrow(_compared(percent), "a long, b long"), "near-links")
@@ -257,6 +291,27 @@ def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int
     return out
 
 
+def _linked_crowds(
+    docs: DataFrame, classes: DataFrame, crowds: DataFrame, comps: DataFrame, width: int, percent: int
+) -> DataFrame | None:
+    """Edges (a, b) that crowded regions (region, doc) add to the components."""
+    named = crowds.join(comps, F.col("doc") == F.col("node"), "left").select(
+        "region", "doc", F.coalesce("component", "doc").alias("component")
+    )
+    named = stored(named, "near-crowds")
+    split = named.groupBy(F.col("region").alias("_region")).agg(
+        F.min("component").alias("_low"), F.max("component").alias("_high")
+    ).filter("_low <> _high").select("_region")
+    split = stored(named.join(split, F.col("region") == F.col("_region"), "left_semi"), "near-split")
+    ids = stored(split.select(F.col("doc").alias("_id")).groupBy("_id").agg(F.lit(1).alias("_1")).drop("_1"), "near-ids")
+    if ids.isEmpty():
+        return None
+    sets = _sets_of(docs, classes, ids, width)
+    rows = split.join(sets, F.col("doc") == F.col("id")).select("region", "doc", "component", "shingles")
+    rows = rows.repartition(shuffle_tasks(docs.sparkSession), "region").sortWithinPartitions("region")
+    return stored(rows.mapInArrow(_crowd_links(percent), "a long, b long"), "near-links")
+
+
 def _region(tree: Column, depth: int) -> Column:
     """Region at a longer prefix of the rotated signature."""
     turned = F.concat(F.expr(f"substring(sig, tree * {DEPTH} + 1, {SIGNATURE})"), F.expr(f"substring(sig, 1, tree * {DEPTH})"))
@@ -287,7 +342,7 @@ def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.select("region", "doc", "n", "sig"), stars
 
 
-_CANDIDATE = "a long, b long, region long, doc long, n long, sig binary"
+_CANDIDATE = "a long, b long, region long, doc long"
 
 
 def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -308,24 +363,16 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT)
     rows, stars = forest(classes)
     tasks = shuffle_tasks(docs.sparkSession)
     sorted_rows = rows.repartition(tasks, "region").sortWithinPartitions("region")
-    found = stored(sorted_rows.mapInArrow(_candidates(percent, False), _CANDIDATE), "near-found")
+    found = stored(sorted_rows.mapInArrow(_candidates(percent), _CANDIDATE), "near-found")
     pairs = found.filter("a is not null").select("a", "b")
     pairs = stored((pairs.union(stars) if stars is not None else pairs).distinct(), "near-pairs")
     links = _confirmed(docs, classes, pairs, width, percent)
     comps = stored(components(links), "near-components")
-    crowd = found.filter("a is null").drop("a", "b")
-    if not crowd.isEmpty():
-        named = crowd.join(comps, F.col("doc") == F.col("node"), "left").withColumn(
-            "component", F.coalesce("component", "doc")
-        )
-        again = named.repartition(tasks, "region").sortWithinPartitions("region").select(
-            "region", "doc", "n", "sig", "component"
-        )
-        rest = again.mapInArrow(_candidates(percent, True), _CANDIDATE).filter("a is not null")
-        rest = stored(rest.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "near-pairs")
-        if not rest.isEmpty():
-            links = links.union(_confirmed(docs, classes, rest, width, percent))
-            comps = stored(components(links), "near-components")
+    crowds = found.filter("a is null").select("region", "doc")
+    if not crowds.isEmpty():
+        more = _linked_crowds(docs, classes, crowds, comps, width, percent)
+        if more is not None:
+            comps = stored(components(links.union(more)), "near-components")
     named = stored(
         classes.select("set_print", "rep").join(comps, F.col("rep") == F.col("node"), "left").select(
             F.col("set_print").alias("_print"), F.coalesce("component", "rep").alias("_component")
