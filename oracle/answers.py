@@ -37,7 +37,13 @@ def _answer(key: str, sql: str) -> None:
 
 # --- sources and columns ---------------------------------------------------------
 
-_answer("bronze_ingest", f"SELECT * REPLACE ({_stamp('o_orderdate')}), 'orders.parquet' AS source_file FROM orders")
+_answer("bronze_ingest", f"""
+SELECT * REPLACE ({_stamp('o_orderdate')}, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority),
+       CASE WHEN o_orderstatus = 'O' THEN 'web' END AS order_channel, 'orders' AS source_table, o_orderstatus AS batch_id,
+       CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS batch_num,
+       printf('orders_%06d_%s', CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END, o_orderstatus) AS source_folder
+FROM orders
+""")
 _answer("fraud_labels_explode", """
 SELECT transaction_id, upper(trim(label)) IN ('YES', 'OUI', 'TRUE', '1') AS is_fraud FROM raw_fraud_labels
 """)
@@ -274,12 +280,16 @@ SELECT wallet, amount, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM ({_CHANGE
 
 _REASONS = {
     "quarantine_atm_master": """
-SELECT *, 'null_terminal_id' AS _reason, 'atm_master' AS _entity
-FROM (SELECT * REPLACE (CAST(installation_date AS VARCHAR) AS installation_date) FROM silver_atm_master)
-WHERE terminal_id IS NULL
+SELECT CAST(NULL AS VARCHAR) AS terminal_id, trim(governorate) AS region, trim(type) AS atm_type,
+       trim(replenished_by) AS provider, trim(replenished_from) AS location_type, installation_date,
+       CAST(limits AS DOUBLE) AS cash_limit, type LIKE '%Dépôt%' AS is_cash_deposit_enabled,
+       CAST(floor((DATE '2024-06-01' - CAST(installation_date AS DATE)) / 365) AS INTEGER) AS atm_age_years,
+       'Maroc' AS country, 'Attijariwafa Bank' AS bank_name, 'MAD' AS currency,
+       'null_terminal_id' AS _reason, 'atm_master' AS _entity
+FROM raw_atm_master WHERE terminal_id IS NULL
 """,
     "quarantine_customers": """
-SELECT *, 'null_client_id' AS _reason, 'customers' AS _entity FROM silver_customers WHERE client_id IS NULL
+SELECT *, 'null_client_id' AS _reason, 'customers' AS _entity FROM ruled_customers WHERE client_id IS NULL
 """,
     "quarantine_cards": """
 SELECT CAST(id AS VARCHAR) AS card_id, CAST(client_id AS VARCHAR) AS client_id, upper(trim(card_brand)) AS card_brand,
@@ -296,16 +306,16 @@ FROM typed_card_transactions t LEFT JOIN pan_customer_map_silver m ON t.pan = m.
 WHERE terminal_id IS NULL OR amount IS NULL OR amount < 0 OR refnum IS NULL
 """,
     "quarantine_wallet": """
-SELECT * REPLACE (CAST(transaction_date AS VARCHAR) AS transaction_date,
+SELECT * EXCLUDE (amount_raw) REPLACE (CAST(transaction_date AS VARCHAR) AS transaction_date,
                   strftime(transaction_datetime, '%Y-%m-%d %H:%M:%S.%f') AS transaction_datetime),
-       CASE WHEN transaction_id IS NULL THEN 'null_id_or_negative_amount' ELSE 'null_amount' END AS _reason,
+       CASE WHEN amount_raw IS NULL THEN 'null_amount' ELSE 'null_id_or_negative_amount' END AS _reason,
        'wallet_transactions' AS _entity
-FROM typed_wallet WHERE transaction_id IS NULL OR amount_mad IS NULL
+FROM typed_wallet WHERE transaction_id IS NULL OR amount_raw IS NULL OR amount_raw < 0
 """,
     "quarantine_out_of_cash": """
 SELECT * REPLACE (CAST(transaction_date AS VARCHAR) AS transaction_date), 'null_required_field' AS _reason,
        'out_of_cash' AS _entity
-FROM silver_out_of_cash WHERE refnum IS NULL OR terminal_id IS NULL OR attempted_amount_mad IS NULL
+FROM typed_out_of_cash WHERE refnum IS NULL OR terminal_id IS NULL OR attempted_amount_mad IS NULL
 """,
     "quarantine_kaggle": """
 SELECT transaction_id, client_id, card_id, amount_mad, merchant_id, 'null_transaction_or_client_id' AS _reason,
@@ -365,31 +375,30 @@ def _checks(test: str) -> str:
 for _test in ("not_null", "unique", "accepted_values", "accepted_range"):
     _answer(f"dq_{_test}", _checks(_test))
 _answer("dq_ref_integrity", """
-SELECT f.atm_transaction_key AS record_id, f.atm_key AS failing_atm_key
-FROM fact_atm_transactions f LEFT JOIN dim_atm d ON f.atm_key = d.atm_key
-WHERE f.atm_key IS NOT NULL AND d.atm_key IS NULL
+SELECT atm_transaction_key AS record_id, atm_key AS failing_atm_key
+FROM fact_atm_transactions WHERE atm_key IN (SELECT atm_key FROM fact_atm_transactions EXCEPT SELECT atm_key FROM dim_atm)
 """)
 _answer("dq_ref_integrity_cards", """
-SELECT s.transaction_id AS record_id, s.card_id AS failing_card_id
-FROM stg_transactions s LEFT JOIN dim_card d ON s.card_id = d.card_id
-WHERE s.card_id IS NOT NULL AND d.card_id IS NULL
+SELECT transaction_id AS record_id, card_id AS failing_card_id
+FROM stg_transactions WHERE card_id IN (SELECT card_id FROM stg_transactions EXCEPT SELECT card_id FROM dim_card)
 """)
 _answer("dq_no_negative_amounts", """
-SELECT 'fact_atm_transactions' AS source_table, refnum AS record_id, amount_mad AS failing_amount
-FROM fact_atm_transactions WHERE amount_mad < 0
-UNION ALL
-SELECT 'fact_wallet_transactions', wallet_transaction_key, amount_mad FROM fact_wallet_transactions WHERE amount_mad < 0
+SELECT * FROM (
+    SELECT 'fact_atm_transactions' AS source_table, refnum AS record_id, amount_mad AS failing_amount FROM fact_atm_transactions
+    UNION ALL
+    SELECT 'fact_wallet_transactions', wallet_transaction_key, amount_mad FROM fact_wallet_transactions
+) WHERE sign(failing_amount) = -1
 """)
 _answer("dq_valid_resp_codes", """
-SELECT atm_transaction_key AS record_id, resp_code AS failing_resp_code, 'atm' AS source FROM fact_atm_transactions
-WHERE resp_code NOT IN (0, 14, 43, 51, 54, 57, 61, 91, 96)
-UNION ALL
-SELECT out_of_cash_key, resp_code, 'ooc' FROM fact_out_of_cash_events
-WHERE resp_code NOT IN (0, 14, 43, 51, 54, 57, 61, 91, 96)
+SELECT coded.* FROM (
+    SELECT atm_transaction_key AS record_id, resp_code AS failing_resp_code, 'atm' AS source FROM fact_atm_transactions
+    UNION ALL SELECT out_of_cash_key, resp_code, 'ooc' FROM fact_out_of_cash_events
+) coded ANTI JOIN (SELECT unnest([0, 14, 43, 51, 54, 57, 61, 91, 96]) AS code) valid ON failing_resp_code = code
+WHERE failing_resp_code IS NOT NULL
 """)
 _answer("dq_wallet_positive", """
-SELECT wallet_transaction_key AS record_id, amount_mad AS failing_amount FROM fact_wallet_transactions
-WHERE amount_mad <= 0
+SELECT wallet_transaction_key AS record_id, amount_mad AS failing_amount
+FROM fact_wallet_transactions WHERE sign(amount_mad) IN (-1, 0)
 """)
 
 # --- streaming -------------------------------------------------------------------
@@ -405,7 +414,7 @@ _answer("stream_channel_hourly", """
 SELECT channel, strftime(h, '%Y-%m-%d %H:%M:%S.%f') AS hour_start, count(*) AS transactions,
        sum(amount_mad) AS total_amount_mad
 FROM (SELECT channel, amount_mad, date_trunc('hour', transaction_datetime) AS h FROM typed_wallet
-      WHERE transaction_id IS NOT NULL AND amount_mad >= 0
+      WHERE transaction_id IS NOT NULL AND amount_raw >= 0
       UNION ALL
       SELECT channel, amount_mad, transaction_date + transaction_hour * INTERVAL 1 HOUR FROM typed_card_transactions
       WHERE terminal_id IS NOT NULL AND amount >= 0 AND refnum IS NOT NULL)

@@ -41,7 +41,7 @@ SELECT upper(trim(terminal_id)) AS terminal_id, trim(governorate) AS region, tri
 FROM raw_atm_master WHERE terminal_id IS NOT NULL
 """
 
-TABLES["silver_customers"] = f"""
+TABLES["ruled_customers"] = f"""
 SELECT *, CASE WHEN current_age < 30 THEN '18-29' WHEN current_age < 45 THEN '30-44'
                WHEN current_age < 60 THEN '45-59' ELSE '60+' END AS age_group,
        CASE WHEN yearly_income < 60000 THEN 'LOW' WHEN yearly_income < 150000 THEN 'MEDIUM'
@@ -56,9 +56,11 @@ FROM (SELECT CAST(id AS VARCHAR) AS client_id, CAST(current_age AS INTEGER) AS c
              CAST(NULL AS VARCHAR) AS address, latitude, longitude, CAST(NULL AS DOUBLE) AS per_capita_income,
              {_money('yearly_income')} AS yearly_income, {_money('total_debt')} AS total_debt,
              CAST(credit_score AS INTEGER) AS credit_score, CAST(num_credit_cards AS INTEGER) AS num_credit_cards
-      FROM raw_customers WHERE id IS NOT NULL)
+      FROM raw_customers)
 """
 
+TABLES["silver_customers"] = "SELECT * FROM ruled_customers WHERE client_id IS NOT NULL"
+
 TABLES["silver_cards"] = f"""
 SELECT CAST(id AS VARCHAR) AS card_id, CAST(client_id AS VARCHAR) AS client_id,
        upper(trim(card_brand)) AS card_brand, upper(trim(card_type)) AS card_type,
@@ -112,7 +114,7 @@ TABLES["typed_wallet"] = """
 SELECT trim(transaction_id) AS transaction_id, trim(mobile_number) AS mobile_number_masked,
        upper(trim(term_id)) AS terminal_id, transaction_date AS transaction_datetime,
        CAST(transaction_date AS DATE) AS transaction_date, CAST(hour(transaction_date) AS INTEGER) AS transaction_hour,
-       trim(transaction_type) AS transaction_type, abs(CAST(transaction_amount AS DOUBLE)) AS amount_mad,
+       trim(transaction_type) AS transaction_type, CAST(transaction_amount AS DOUBLE) AS amount_raw, abs(CAST(transaction_amount AS DOUBLE)) AS amount_mad,
        trim(transaction_status) AS transaction_status,
        transaction_type LIKE '%ANNULATION%' OR transaction_type LIKE '%REVERSAL%' AS is_reversal,
        transaction_type LIKE '%RETRAIT%' OR transaction_type LIKE '%OUT%' AS is_cash_out,
@@ -121,19 +123,23 @@ FROM raw_wallet_transactions
 """
 
 TABLES["silver_wallet"] = """
-SELECT * FROM typed_wallet WHERE transaction_id IS NOT NULL AND amount_mad >= 0
+SELECT * EXCLUDE (amount_raw) FROM typed_wallet WHERE transaction_id IS NOT NULL AND amount_raw >= 0
 QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY transaction_datetime DESC NULLS LAST) = 1
 """
 
-TABLES["silver_out_of_cash"] = f"""
+TABLES["typed_out_of_cash"] = f"""
 SELECT trim(pan) AS pan, trim(refnum) AS refnum, upper(trim(termid)) AS terminal_id,
        CAST(date AS DATE) AS transaction_date, time AS transaction_time,
        TRY_CAST(substr(time, 1, 2) AS INTEGER) AS transaction_hour, {_money('amount')} AS attempted_amount_mad,
        CAST(respcode AS INTEGER) AS resp_code, 'GUICHET VIDE' AS failure_reason,
        respcode = 96 AS is_confirmed_ooc, 'MAD' AS currency
 FROM raw_out_of_cash
-WHERE refnum IS NOT NULL AND termid IS NOT NULL AND {_money('amount')} IS NOT NULL
-QUALIFY row_number() OVER (PARTITION BY refnum ORDER BY date DESC) = 1
+"""
+
+TABLES["silver_out_of_cash"] = """
+SELECT * FROM typed_out_of_cash
+WHERE refnum IS NOT NULL AND terminal_id IS NOT NULL AND attempted_amount_mad IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY refnum ORDER BY transaction_date DESC) = 1
 """
 
 TABLES["typed_kaggle"] = f"""

@@ -104,3 +104,6 @@ ERROR_TYPES = [
     (9, 91, "Bank System Unavailable", "TECHNICAL", False, True),
     (10, None, "No Error", "SUCCESS", False, False),
 ]
+
+# Characters that part words in raw column names.
+NAME_SEPARATORS = " ,;{}()\n\t="

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, functions as F
 
 from sarraf.functions import fixed_values as fv
@@ -11,7 +9,7 @@ from sarraf.functions import fixed_values as fv
 
 def clean_name(name: str) -> str:
     """Column name with separators turned into ``_``, lower case, no outer ``_``."""
-    return re.sub(r"[ ,;{}()\n\t=]", "_", name).lower().strip("_")
+    return "".join("_" if letter in fv.NAME_SEPARATORS else letter for letter in name).lower().strip("_")
 
 
 def is_junk_name(name: str) -> bool:

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 _RANK = "_rank"
 
+#: Columns that say with which delivery a row came, later ones higher.
+DELIVERY = ("batch_num", "ingested_at")
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
     """Keep the first row of each key under ``order``.
@@ -23,11 +26,15 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFr
 def latest_per_key(df: DataFrame, key: str, newest: str, ties: Sequence[str] = ()) -> DataFrame:
     """Keep the row with the highest ``newest`` (NULL last) of each key.
 
-    Equal rows are told apart by ``ties`` and then by every other column, all
-    ascending, so that the winner does not depend on the order of arrival.
+    Of equal rows the one delivered last wins, where the input says which
+    (``DELIVERY`` columns).  What is still equal is told apart by ``ties`` and
+    then by every other column, all ascending, so that the winner does not
+    depend on the order of arrival.
     """
-    rest = [c for c in df.columns if c not in (key, newest, *ties)]
-    order = [F.col(newest).desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in (*ties, *rest)]
+    delivered = [c for c in DELIVERY if c in df.columns]
+    rest = [c for c in df.columns if c not in (key, newest, *delivered, *ties)]
+    order = [F.col(c).desc_nulls_last() for c in (newest, *delivered)]
+    order += [F.col(c).asc_nulls_last() for c in (*ties, *rest)]
     return first_per_key(df, [key], order)
 
 

@@ -16,7 +16,8 @@ from sarraf.functions import rules, text
 
 
 def _listing(df: DataFrame, columns: Sequence[str], order: Sequence[Column], limit: int | None) -> DataFrame:
-    shown = df.orderBy(*order).select(*columns)
+    # The other columns settle ties, so a limit always returns the same rows.
+    shown = df.orderBy(*order, *columns).select(*columns)
     return shown if limit is None else shown.limit(limit)
 
 

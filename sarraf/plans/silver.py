@@ -14,12 +14,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sarraf.functions import fixed_values as fv, rules, text
 from sarraf.operators.conform import harmonise, pick, pick_first
-from sarraf.operators.dedup import latest_per_key
+from sarraf.operators.dedup import DELIVERY, latest_per_key
 from sarraf.operators.ordinal import with_client
 from sarraf.operators.quarantine import Check, bad_rows, good_rows
 from sarraf.settings import RunContext
 
 
+#: Columns a delivery adds; they end with deduplication.
+BATCH = ("batch_id", "batch_num", "ingested_at", "source_table")
+
+
 @dataclass(frozen=True)
 class Entity:
     name: str
@@ -32,15 +36,20 @@ class Entity:
     partition: str | None = None
 
 
+def _typed(raw: DataFrame, *columns: Column) -> DataFrame:
+    """Typed columns, and those of the delivery if the input has them."""
+    return raw.select(*columns, *(F.col(c) for c in DELIVERY if c in raw.columns))
+
+
 def build(entity: Entity, raw: DataFrame, ctx: RunContext) -> DataFrame:
     """Good rows of an entity, one per key."""
     good = good_rows(entity.typed(raw), entity.checks())
-    return entity.derive(latest_per_key(good, entity.key, entity.newest, entity.ties), ctx)
+    return entity.derive(latest_per_key(good, entity.key, entity.newest, entity.ties).drop(*BATCH), ctx)
 
 
 def quarantine(entity: Entity, raw: DataFrame, ctx: RunContext) -> DataFrame:
     """Bad rows of an entity with ``_reason``, ``_entity`` and ``_quarantined_at``."""
-    return entity.derive(bad_rows(entity.typed(raw), entity.checks(), entity.name, ctx.now()), ctx)
+    return entity.derive(bad_rows(entity.typed(raw), entity.checks(), entity.name, ctx.now()).drop(*BATCH), ctx)
 
 
 def _null(column: str) -> Column:
@@ -101,7 +110,8 @@ ATM_MASTER = Entity(
 def _customers_typed(raw: DataFrame) -> DataFrame:
     whole = ("current_age", "retirement_age", "birth_year", "birth_month", "credit_score", "num_credit_cards")
     money = ("per_capita_income", "yearly_income", "total_debt")
-    return raw.select(
+    return _typed(
+        raw,
         pick_first(raw, "client_id", "id").alias("client_id"),
         *[pick(raw, c, "int").alias(c) for c in whole],
         text.tidy_upper(pick(raw, "gender")).alias("gender"),
@@ -138,7 +148,8 @@ CUSTOMERS = Entity(
 
 def _cards_typed(raw: DataFrame) -> DataFrame:
     """Security code and raw number do not leave this step; the number is masked."""
-    return raw.select(
+    return _typed(
+        raw,
         pick_first(raw, "card_id", "id").alias("card_id"),
         pick(raw, "client_id").alias("client_id"),
         text.tidy_upper(pick(raw, "card_brand")).alias("card_brand"),
@@ -178,7 +189,8 @@ CARDS = Entity(
 # --- terminal transactions by card ---------------------------------------------
 
 def _card_txn_typed(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return _typed(
+        raw,
         text.tidy(pick(raw, "pan")).alias("pan"),
         text.tidy(pick(raw, "refnum")).alias("refnum"),
         text.tidy_upper(pick(raw, "termid")).alias("terminal_id"),
@@ -248,13 +260,14 @@ def pan_customer_map(raw_card_transactions: DataFrame, customers: DataFrame, ctx
 # --- wallet transactions -------------------------------------------------------
 
 def _wallet_typed(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return _typed(
+        raw,
         text.tidy(pick(raw, "transaction_id")).alias("transaction_id"),
         text.tidy(pick(raw, "mobile_number")).alias("mobile_number_masked"),
         text.tidy_upper(pick(raw, "term_id")).alias("terminal_id"),
         text.text_timestamp(pick(raw, "transaction_date")).alias("transaction_datetime"),
         text.tidy(pick(raw, "transaction_type")).alias("transaction_type"),
-        F.abs(pick(raw, "transaction_amount", "double", 0.0)).alias("amount_mad"),
+        pick(raw, "transaction_amount", "double", 0.0).alias("amount_raw"),
         text.tidy(pick(raw, "transaction_status")).alias("transaction_status"),
     )
 
@@ -263,6 +276,7 @@ def _wallet_derive(df: DataFrame, ctx: RunContext) -> DataFrame:
     kind = F.col("transaction_type")
     return df.withColumns(
         {
+            "amount_mad": F.abs("amount_raw"),
             "transaction_date": F.to_date("transaction_datetime"),
             "transaction_hour": F.hour("transaction_datetime"),
             "is_reversal": text.contains_any(kind, "ANNULATION", "REVERSAL"),
@@ -272,16 +286,16 @@ def _wallet_derive(df: DataFrame, ctx: RunContext) -> DataFrame:
             "currency": F.lit(fv.CURRENCY),
             "_silver_loaded_at": ctx.now(),
         }
-    )
+    ).drop("amount_raw")
 
 
-# A missing amount is bad too; it must not fall between good and bad.
+# A missing amount is bad too; it must not fall between good and bad.  The sign is checked before abs().
 WALLET_TRANSACTIONS = Entity(
     name="wallet_transactions", key="transaction_id", newest="transaction_datetime", partition="transaction_date",
     typed=_wallet_typed,
     checks=lambda: [
-        ("null_id_or_negative_amount", _null("transaction_id")),
-        ("null_amount", _null("amount_mad")),
+        ("null_amount", _null("amount_raw")),
+        ("null_id_or_negative_amount", _null("transaction_id") | (F.col("amount_raw") < 0)),
     ],
     derive=_wallet_derive,
 )
@@ -290,7 +304,8 @@ WALLET_TRANSACTIONS = Entity(
 # --- out-of-cash events ----------------------------------------------------------
 
 def _ooc_typed(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return _typed(
+        raw,
         text.tidy(pick(raw, "pan")).alias("pan"),
         text.tidy(pick(raw, "refnum")).alias("refnum"),
         text.tidy_upper(pick(raw, "termid")).alias("terminal_id"),
@@ -329,7 +344,8 @@ def _purchase_typed(raw: DataFrame) -> DataFrame:
     amount = "amount" if "amount" in raw.columns else "amount_mad"
     region = F.coalesce(pick(raw, "merchant_state"), pick(raw, "merchant_region"))
     when = pick(raw, "date")
-    return raw.select(
+    return _typed(
+        raw,
         pick_first(raw, "transaction_id", "id").alias("transaction_id"),
         pick(raw, "client_id").alias("client_id"),
         pick(raw, "card_id").alias("card_id"),

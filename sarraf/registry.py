@@ -77,9 +77,18 @@ def queries() -> dict[str, Query]:
 # --- sources and columns -----------------------------------------------------------
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = landing.scan_landing(spark, sf_dir, glob="orders.parquet")
-    bronze = landing.to_bronze(landed, RunContext())
-    return bronze.withColumn("source_file", F.element_at(F.split("_source_file", "/"), -1))
+    """Orders delivered by status, in batches that do not all have the same columns."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    folder = tables.scratch_dir(spark, "landing")
+    for number, status in enumerate(("F", "O", "P")):
+        batch = orders.filter(F.col("o_orderstatus") == status)
+        if status == "F":
+            batch = batch.drop("o_orderpriority")
+        elif status == "O":
+            batch = batch.withColumn("Order Channel", F.lit("web"))
+        landing.land_batch(batch, folder, "orders", status, number, RunContext())
+    bronze = landing.to_bronze(landing.scan_landing(spark, folder), RunContext())
+    return bronze.withColumn("source_folder", F.element_at(F.split("_source_file", "/"), -2)).drop("ingested_at")
 
 
 def _label_objects(wh: Warehouse) -> DataFrame:

@@ -47,6 +47,6 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 << 20) -> d
     partitions = max(8, -(-input_bytes // target_partition_bytes))
     return {
         **SESSION_CONF,
-        "spark.sql.shuffle.partitions": str(min(partitions, 200_000)),
+        "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
     }

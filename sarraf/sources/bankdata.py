@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 RAW_SQL = {
     "raw_customers": """
-SELECT c_custkey AS id, 18 + c_custkey % 60 AS current_age, 65 AS retirement_age,
+SELECT CASE WHEN c_custkey % 211 = 9 THEN NULL ELSE c_custkey END AS id, 18 + c_custkey % 60 AS current_age, 65 AS retirement_age,
        2024 - (18 + c_custkey % 60) AS birth_year, 1 + c_custkey % 12 AS birth_month,
        CASE c_custkey % 2 WHEN 0 THEN ' male ' ELSE 'Female' END AS gender,
        33.5E0 + (c_custkey % 8) * 0.25E0 AS latitude, -7.5E0 + (c_custkey % 16) * 0.25E0 AS longitude,
@@ -35,7 +35,7 @@ SELECT c_custkey * 3 + k AS id, CASE WHEN c_custkey % 97 = 5 THEN NULL ELSE c_cu
 FROM {customer_cards}
 """,
     "raw_atm_master": """
-SELECT concat(' atm', lpad(CAST(s_suppkey AS STRING), 4, '0')) AS terminal_id,
+SELECT CASE WHEN s_suppkey % 100 = 9 THEN NULL ELSE concat(' atm', lpad(CAST(s_suppkey AS STRING), 4, '0')) END AS terminal_id,
        CASE s_nationkey % 6 WHEN 0 THEN 'Casablanca-Settat' WHEN 1 THEN 'Marrakech-Safi' WHEN 2 THEN 'Oriental'
             WHEN 3 THEN 'Fès-Meknès' WHEN 4 THEN 'Souss-Massa' ELSE 'Dakhla' END AS governorate,
        CASE s_suppkey % 2 WHEN 0 THEN 'Retrait & Dépôt' ELSE 'Retrait uniquement' END AS type,
@@ -53,7 +53,7 @@ SELECT CAST(o_orderkey AS STRING) AS refnum,
        CASE o_orderstatus WHEN 'F' THEN 'Dépôt' ELSE 'Retrait' END AS descr,
        CASE o_orderkey % 25 WHEN 0 THEN 430 ELSE 210 END AS msgtype,
        CASE WHEN o_orderkey % 103 = 0 THEN NULL WHEN o_orderkey % 107 = 0 THEN -100.0E0 ELSE CAST(floor(o_totalprice / 20) AS DOUBLE) END AS amount,
-       CASE WHEN (CAST(floor(o_orderkey / 900) AS INT) * 37 + o_orderkey) % 100 < (o_orderkey % 4) * 9 THEN CASE o_orderkey % 3 WHEN 0 THEN 96 WHEN 1 THEN 51 ELSE 14 END ELSE 0 END AS respcode
+       CASE WHEN (CAST(floor(o_orderkey / 900) AS INT) * 37 + o_orderkey) % 100 < (o_orderkey % 4) * 9 THEN CASE o_orderkey % 3 WHEN 0 THEN 96 WHEN 1 THEN 51 ELSE 14 END WHEN o_orderkey % 331 = 7 THEN 77 ELSE 0 END AS respcode
 FROM {orders}
 UNION ALL
 SELECT CAST(o_orderkey AS STRING) AS refnum,
@@ -64,7 +64,7 @@ SELECT CAST(o_orderkey AS STRING) AS refnum,
        CASE o_orderstatus WHEN 'F' THEN 'Dépôt' ELSE 'Retrait' END AS descr,
        CASE o_orderkey % 25 WHEN 0 THEN 430 ELSE 210 END AS msgtype,
        CASE WHEN o_orderkey % 103 = 0 THEN NULL WHEN o_orderkey % 107 = 0 THEN -100.0E0 ELSE CAST(floor(o_totalprice / 20) AS DOUBLE) END AS amount,
-       CASE WHEN (CAST(floor(o_orderkey / 900) AS INT) * 37 + o_orderkey) % 100 < (o_orderkey % 4) * 9 THEN CASE o_orderkey % 3 WHEN 0 THEN 96 WHEN 1 THEN 51 ELSE 14 END ELSE 0 END AS respcode
+       CASE WHEN (CAST(floor(o_orderkey / 900) AS INT) * 37 + o_orderkey) % 100 < (o_orderkey % 4) * 9 THEN CASE o_orderkey % 3 WHEN 0 THEN 96 WHEN 1 THEN 51 ELSE 14 END WHEN o_orderkey % 331 = 7 THEN 77 ELSE 0 END AS respcode
 FROM {orders} WHERE o_orderkey % 50 = 0
 """,
     "raw_wallet_transactions": """
@@ -73,7 +73,7 @@ SELECT CASE WHEN event_id % 109 = 0 THEN NULL ELSE CAST(event_id AS STRING) END
        concat('atm', lpad(CAST(user_id % 30 AS STRING), 4, '0')) AS term_id,
        CAST(ts AS TIMESTAMP) AS transaction_date,
        CASE event_type WHEN 'purchase' THEN 'DEMANDE RETRAIT' WHEN 'error' THEN 'ANNULATION RETRAIT' ELSE 'DEMANDE DÉPÔT' END AS transaction_type,
-       CASE WHEN event_id % 113 = 0 THEN NULL ELSE floor(value * 4) / 4 END AS transaction_amount,
+       CASE WHEN event_id % 113 = 0 THEN NULL WHEN event_id % 127 = 3 THEN -floor(value * 4) / 4 ELSE floor(value * 4) / 4 END AS transaction_amount,
        CASE event_type WHEN 'error' THEN '00091 KO' ELSE '00000 OK' END AS transaction_status
 FROM {events}
 """,
@@ -83,12 +83,13 @@ SELECT concat('ooc', CAST(event_id AS STRING)) AS refnum,
        concat('atm', lpad(CAST(user_id % 30 AS STRING), 4, '0')) AS termid,
        CAST(CAST(ts AS DATE) AS STRING) AS date,
        concat(lpad(CAST(event_id % 24 AS STRING), 2, '0'), ':30:00') AS time,
-       concat(CAST(CAST(floor(value) AS BIGINT) AS STRING), ' MAD') AS amount, 96 AS respcode
+       CASE WHEN event_id % 37 = 5 THEN NULL ELSE concat(CAST(CAST(floor(value) AS BIGINT) AS STRING), ' MAD') END AS amount, 96 AS respcode
 FROM {events} WHERE event_type = 'error'
 """,
     "raw_kaggle_transactions": """
 SELECT concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS id,
-       o_custkey AS client_id, o_custkey * 3 + l_linenumber % 3 AS card_id,
+       CASE WHEN l_orderkey % 251 = 1 THEN NULL WHEN o_custkey % 10 = 7 THEN o_custkey - 1 ELSE o_custkey END AS client_id,
+       CASE WHEN o_custkey % 10 = 7 THEN o_custkey - 1 ELSE o_custkey END * 3 + l_linenumber % 3 AS card_id,
        concat(CAST(DATE '2023-06-01' + CAST((l_orderkey + l_linenumber * 7) % (1 + o_custkey % 40) AS INT) AS STRING), ' ', lpad(CAST(l_partkey % 24 AS STRING), 2, '0'), ':00:00') AS date,
        concat('$', CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN '-' ELSE '' END,
               CAST(CAST(l_quantity * CASE l_linenumber % 4 WHEN 0 THEN 1 WHEN 1 THEN 20 WHEN 2 THEN 100 ELSE 400 END AS INT) AS STRING), '.50') AS amount,
@@ -99,12 +100,11 @@ SELECT concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS
             WHEN 5 THEN '5310' WHEN 6 THEN '7011' WHEN 7 THEN '5912' WHEN 8 THEN '7995' ELSE '9999' END AS mcc,
        CASE l_suppkey % 20 WHEN 0 THEN '51' WHEN 1 THEN ' 14 ' WHEN 2 THEN 'Bad PIN' ELSE 'NaN' END AS errors
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey
-WHERE o_custkey % 10 <> 7
 """,
     "raw_fraud_labels": """
-SELECT DISTINCT concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS transaction_id,
+SELECT DISTINCT concat(CAST(l_orderkey AS STRING), '-', CASE WHEN l_linenumber = 7 THEN 'x' ELSE CAST(l_linenumber AS STRING) END) AS transaction_id,
        CASE WHEN (o_custkey % 8 = 0 AND l_orderkey % 4 = 0) OR (o_custkey % 8 = 1 AND l_orderkey % 16 = 0) OR l_orderkey % 200 = 0 THEN 'Yes' ELSE 'No' END AS label
-FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey WHERE l_linenumber <> 7
+FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
 """,
 }
 
