@@ -43,7 +43,7 @@ BLOCK_BYTES = 32 << 20
 #: Distinct words that one slice of the word table has at most, if every block asks for other words.
 SLICE_WORDS = 400_000
 #: Documents put in place at once.
-CHUNK_IDS = 2_000_000
+CHUNK_IDS = 1_000_000
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -77,7 +77,7 @@ def _pieces(model: str) -> pa.Array:
 
 def _packed(values: np.ndarray) -> bytes:
     """Numbers with their bytes grouped by place, compressed."""
-    return zstandard.compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
+    return zstandard.compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 9)
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
@@ -86,29 +86,26 @@ def _unpacked(raw: bytes) -> np.ndarray:
 
 
 _ROW = pa.schema([
-    ("block", pa.int64()), ("slice", pa.int32()), ("n", pa.int64()), ("words", pa.binary()), ("places", pa.binary()),
+    ("block", pa.int64()), ("slice", pa.int32()), ("n", pa.int64()), ("words", pa.binary()),
     ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("positions", pa.binary()),
 ])
 _ROW_SQL = (
-    "block long, slice int, n long, words binary, places binary, doc_ids array<long>, sizes array<int>, positions binary"
+    "block long, slice int, n long, words binary, doc_ids array<long>, sizes array<int>, positions binary"
 )
 
 
 def _block_rows(block: int, numbers: dict[bytes, int], docs: list, sizes: list[int], at: list[np.ndarray], slices: int):
-    """The documents of a block as word numbers, and the words it asks for, slice by slice."""
-    rows = [{"block": block, "slice": -1, "n": len(docs), "doc_ids": docs, "sizes": sizes,
+    """The documents of a block as word numbers, and the words it asks for, slice by slice in the order of their numbers."""
+    asked: list[list[bytes]] = [[] for _ in range(slices)]
+    of_slice = np.fromiter((zlib.crc32(w) % slices for w in numbers), np.uint32, len(numbers))
+    for word, i in zip(numbers, of_slice.tolist(), strict=True):
+        asked[i].append(word)
+    numbers.clear()
+    rows = [{"block": block, "slice": -1, "n": len(docs), "words": _packed(of_slice), "doc_ids": docs, "sizes": sizes,
              "positions": _packed(np.concatenate(at) if at else np.empty(0, np.uint32))}]
-    asked: list[list[tuple[bytes, int]]] = [[] for _ in range(slices)]
-    for word, number in numbers.items():
-        asked[zlib.crc32(word) % slices].append((word, number))
     for i, some in enumerate(asked):
         if some:
-            some.sort()
-            rows.append({
-                "block": block, "slice": i, "n": len(some),
-                "words": zstandard.compress(b"\n".join(w for w, _ in some), 3),
-                "places": _packed(np.array([k for _, k in some], np.uint32)),
-            })
+            rows.append({"block": block, "slice": i, "n": len(some), "words": zstandard.compress(b"\n".join(some), 9)})
     return pa.RecordBatch.from_pylist(rows, _ROW)
 
 
@@ -154,7 +151,7 @@ def _encode_words(model: str):
         for row, own in zip(rows, asked, strict=True):
             which = np.fromiter(map(index.__getitem__, own), np.int64, len(own))
             yield pa.RecordBatch.from_pylist(
-                [{"block": row["block"], "slice": row["slice"], "n": row["n"], "places": row["places"],
+                [{"block": row["block"], "slice": row["slice"], "n": row["n"],
                   "words": _packed(counts[which]), "positions": _packed(_gathered(flat, starts[which], counts[which]))}],
                 _ROW,
             )
@@ -189,11 +186,11 @@ def decode_arrow(ids: pa.ListArray, model: str) -> pa.Array:
 
 def _put_in_place(model: str):
     def documents(answers: list[dict], row: dict) -> Iterator[pa.RecordBatch]:
-        n_words = sum(a["n"] for a in answers)
-        starts, counts = np.zeros(n_words, np.int64), np.zeros(n_words, np.int64)
+        of_slice = _unpacked(row["words"])
+        starts, counts = np.zeros(len(of_slice), np.int64), np.zeros(len(of_slice), np.int64)
         flats, done = [np.empty(0, np.uint32)], 0
         for a in answers:
-            places, own = _unpacked(a["places"]), _unpacked(a["words"]).astype(np.int64)
+            places, own = np.flatnonzero(of_slice == a["slice"]), _unpacked(a["words"]).astype(np.int64)
             counts[places] = own
             starts[places] = done + np.cumsum(own) - own
             flats.append(_unpacked(a["positions"]))
@@ -244,7 +241,7 @@ def encode(docs: DataFrame, path: str | None = None, block_bytes: int = BLOCK_BY
     )
     tasks = shuffle_tasks(spark)
     asked = numbered.filter("slice >= 0").repartition(tasks, "slice").sortWithinPartitions("slice", "block")
-    answered = stored(asked.mapInArrow(_encode_words(model), _ROW_SQL), "token-answers")
+    answered = asked.mapInArrow(_encode_words(model), _ROW_SQL)
     # Answers come before the documents of their block.
     rows = answered.union(numbered.filter("slice < 0")).repartition(tasks, "block").sortWithinPartitions(
         "block", F.col("slice").desc()
