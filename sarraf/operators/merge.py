@@ -51,6 +51,15 @@ def rows_to_load(
     return staged.filter((F.col(column) >= F.lit(oldest)) | F.col(column).isNull())
 
 
+#: Buckets of a keyed table without a partition column.  A table keeps the number it was made with.
+BUCKETS = 32
+
+
+def with_bucket(df: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """The bucket a key always falls into."""
+    return df.withColumn(tables.BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+
+
 def merge_into(
     spark: SparkSession,
     path: str,
@@ -58,48 +67,54 @@ def merge_into(
     key: str,
     partition: str | None = None,
     newest: str | None = None,
+    buckets: int = BUCKETS,
 ) -> int:
     """Create the table at ``path`` or upsert ``source`` into it; returns the rows of ``source``.
 
-    Without a partition column the table is rewritten.  With one, only the
-    partitions that lose or gain rows are: those holding a key of the source
-    (the key may have moved to another date) and those of the source itself.
-    The new content is first written next to the checkpoints and then published,
-    so the table is never read and overwritten at once, and a publish that was
-    interrupted can be repeated from that copy.
+    Only the partitions that lose or gain rows are read and written: those
+    holding a key of the source (the key may have moved to another date) and
+    those of the source itself.  A table without a partition column is divided
+    into ``buckets`` by the key, so a batch touches the buckets of its keys alone.
+    The new content is first written next to the checkpoints and then put in
+    place of the touched partitions when all of it is there: the table is never
+    read and overwritten at once, a failed publish leaves it as it was, and the
+    merge can be repeated.
 
     With ``newest`` a source row wins only if it is not older than the target row.
     """
+    bucketed = partition is None
+    if bucketed:
+        source, partition = with_bucket(source, key, buckets), tables.BUCKET
     scratch = tables.scratch_dir(spark, "merge")
     staged_source, loaded = tables.stage(source, f"{scratch}/source")
     require_unique(staged_source, key)
     if loaded == 0:
+        tables.remove(spark, scratch)
         return 0
     if not tables.exists(spark, path):
-        return tables.write(staged_source, path, partition)
-    target = tables.read(spark, path)
-    if partition is None:
-        touched = target
-    else:
-        dates = (
-            target.join(staged_source.select(key), key, "left_semi").select(partition)
-            .unionByName(staged_source.select(partition)).distinct()
-        )
-        # One value per touched partition: bounded by the partitions of the table.
-        values = [r[0] for r in dates.collect()]
-        known = [v for v in values if v is not None]
-        in_touched = F.col(partition).isin(known)
-        if len(known) < len(values):
-            in_touched = F.coalesce(in_touched, F.lit(True))
-        touched = target.filter(in_touched)
+        tables.write(staged_source, path, partition)
+        tables.remove(spark, scratch)
+        return loaded
+    target = tables.read(spark, path, with_bucket=True)
+    places = staged_source.select(partition)
+    if not bucketed:
+        places = places.unionByName(target.join(staged_source.select(key), key, "left_semi").select(partition))
+    # One value per touched partition: bounded by the partitions of the table.
+    values = [r[0] for r in places.distinct().collect()]
+    known = [v for v in values if v is not None]
+    in_touched = F.col(partition).isin(known)
+    if len(known) < len(values):
+        in_touched = F.coalesce(in_touched, F.lit(True))
+    touched = target.filter(in_touched)
     if newest is None:
         merged = upsert_by_key(touched, staged_source, key)
     else:
         merged = latest_per_key(touched.unionByName(staged_source, allowMissingColumns=True), key, newest)
     result, _ = tables.stage(merged, f"{scratch}/result")
-    if partition is not None:
-        _clear_emptied(result, path, partition, values)
     tables.write(result, path, partition, only_touched=True)
+    # Only now: a key that moved is in its new partition before its old one goes.
+    _clear_emptied(result, path, partition, values)
+    tables.remove(spark, scratch)
     return loaded
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sarraf.operators import health
-from sarraf.operators.merge import high_watermark, merge_into, rows_to_load
+from sarraf.operators.merge import high_watermark, merge_into, rows_to_load, with_bucket
 from sarraf.plans import history, silver
 from sarraf.plans.warehouse import FACTS, MODELS, Warehouse
 from sarraf.settings import RunContext
@@ -115,10 +115,11 @@ class Lakehouse:
             ("cards_snapshot", "stg_cards", history.cards_snapshot),
         ):
             before = self.read("snapshots", name) if self.has("snapshots", name) else None
-            after, _ = tables.stage(
-                snapshot(before, wh.table(stg), run_ts), tables.scratch_dir(self.spark, "history")
-            )
-            tables.write(after, self.path("snapshots", name))
+            scratch = tables.scratch_dir(self.spark, "history")
+            after, _ = tables.stage(snapshot(before, wh.table(stg), run_ts), scratch)
+            # By bucket, so that a failed write leaves the history as it was.
+            tables.write(with_bucket(after, "scd_id"), self.path("snapshots", name), tables.BUCKET, only_touched=True)
+            tables.remove(self.spark, scratch)
 
     def register_views(self) -> None:
         """Silver tables and marts under their names for SQL."""

@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
+#: Partition column of keyed tables that have no other; readers do not see it.
+BUCKET = "_bucket"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors share, from ``spark.checkpoint.dir``.
 
@@ -41,10 +45,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
-def read(spark: SparkSession, path: str, schema: StructType | None = None, fmt: str = "parquet") -> DataFrame:
+def remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def read(
+    spark: SparkSession, path: str, schema: StructType | None = None, fmt: str = "parquet", with_bucket: bool = False
+) -> DataFrame:
     """Table at ``path``; date partitions are discovered and pruned by Spark."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.format(fmt).load(path)
+    table = reader.format(fmt).load(path)
+    return table if with_bucket else table.drop(BUCKET)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

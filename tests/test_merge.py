@@ -3,8 +3,9 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
-from sarraf.operators import changes, merge
+from sarraf.operators import changes, dedup, merge
 from sarraf.sources import tables
 
 SCHEMA = "key string, day date, v int"
@@ -73,6 +74,54 @@ def test_empty_batch(spark, tmp_path, rows):
     assert rows(tables.read(spark, path), "key", "v") == [("a", 1)]
 
 
+@pytest.mark.parametrize("partition", [None, "day"])
+def test_failed_publish_leaves_the_table_and_can_be_repeated(spark, tmp_path, rows, monkeypatch, partition):
+    path = str(tmp_path / "t")
+    first = frame(spark, ("a", day(1), 1), ("b", day(2), 2), ("d", day(3), 4))
+    merge.merge_into(spark, path, first, "key", partition)
+    batch, write = frame(spark, ("b", day(3), 3), ("c", day(3), 4)), tables.write
+
+    def poisoned(df, to, *args, **options):
+        if to == path:
+            df = df.withColumn("v", F.when(F.col("key") == "c", F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("v")))
+        return write(df, to, *args, **options)
+
+    monkeypatch.setattr(tables, "write", poisoned)
+    with pytest.raises(Exception, match="lost"):
+        merge.merge_into(spark, path, batch, "key", partition)
+    monkeypatch.setattr(tables, "write", write)
+    assert rows(tables.read(spark, path), "key", "v") == [("a", 1), ("b", 2), ("d", 4)]
+    merge.merge_into(spark, path, batch, "key", partition)
+    assert rows(tables.read(spark, path), "key", "v") == [("a", 1), ("b", 3), ("c", 4), ("d", 4)]
+
+
+def test_untouched_buckets_keep_their_files(spark, tmp_path):
+    path = tmp_path / "t"
+    merge.merge_into(spark, str(path), frame(spark, *((f"k{i}", day(1), i) for i in range(200))), "key")
+    before = {p.parent.name: p.name for p in path.glob("*/*.parquet")}
+    merge.merge_into(spark, str(path), frame(spark, ("k7", day(2), 9)), "key")
+    after = {p.parent.name: p.name for p in path.glob("*/*.parquet")}
+    assert len(before) == merge.BUCKETS and sum(before[b] != after[b] for b in before) == 1
+
+
+def test_scratch_is_removed(spark, tmp_path):
+    import glob
+
+    folders = tables.shared_dir(spark).removeprefix("file:") + "/sarraf/merge-*"
+    before = glob.glob(folders)
+    merge.merge_into(spark, str(tmp_path / "t"), frame(spark, ("a", day(1), 1)), "key")
+    merge.merge_into(spark, str(tmp_path / "t"), frame(spark, ("a", day(2), 2)), "key")
+    assert glob.glob(folders) == before
+
+
+def test_last_delivery_wins_ties(spark, rows):
+    again = spark.createDataFrame(
+        [("t1", day(1), 200, 0), ("t1", day(1), 900, 1), ("t2", day(2), 5, 1), ("t2", day(1), 7, 2)],
+        "key string, day date, v int, batch_num int",
+    )
+    assert rows(dedup.latest_per_key(again, "key", "day"), "key", "v") == [("t1", 900), ("t2", 5)]
+
+
 def test_rows_to_load(spark, rows):
     staged = frame(spark, ("late", day(4), 1), ("same", day(5), 2), ("new", day(6), 3), ("undated", None, 4))
 
