@@ -71,6 +71,8 @@ DROPPED_NAMES = frozenset(
     "breadcrumbs sidebar widget widgets footer masthead topbar toolbar comment comments commentlist disqus respond "
     "replies share sharing social related recommended pagination pager login search skip contentinfo complementary".split()
 )
+DROPPED_STARTS = ("adsby", "advert", "comment", "cookie", "sidebar", "breadcrumb", "newsletter")
+ABOUT_LAYOUT = frozenset("has no with without is".split())
 TOP_NAMES = frozenset(("header", "pageheader", "siteheader"))
 
 _TOKEN = re.compile(
@@ -84,8 +86,16 @@ _LABEL = re.compile(r"[^\w-]+")
 
 
 def _named_away(attributes: str, in_article: bool) -> bool:
-    names = {n for m in _NAMES.finditer(attributes) for n in _SPLIT.split((m[1] or m[2] or m[3] or "").lower())}
-    return bool(names & DROPPED_NAMES) or (not in_article and bool(names & TOP_NAMES)) or bool(_HIDDEN.search(attributes))
+    if _HIDDEN.search(attributes):
+        return True
+    for m in _NAMES.finditer(attributes):
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            words = _SPLIT.split(name)
+            if words[0] in ABOUT_LAYOUT:  # says what stands beside the element
+                continue
+            if any(w in DROPPED_NAMES or w.startswith(DROPPED_STARTS) or (w in TOP_NAMES and not in_article) for w in words):
+                return True
+    return False
 
 
 class _Open:

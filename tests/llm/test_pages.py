@@ -24,6 +24,7 @@ def result(df):
     ("<ul><li>a<li>b</ul><table><tr><td>c<td>d<tr><td>e</table>", ["a", "b", "c", "d", "e"]),
     ("a < b &copy; &#233; &nbsp; x <3", ["a < b © é x <3"]), ("<p>open <a href='x>y'>link", ["open link"]),
     ("<form><p>f</form><button>b</button><select><option>o</select><noscript>n</noscript>t", ["t"]),
+    ("<div class='content has-sidebar'>text<div class='user-comments'>no</div></div>", ["text"]),
     ("<!-- never closed", []), ("<script>never closed", []), ("<p>" * 3000 + "deep", ["deep"]), ("<div>" * 3000 + "deep", ["deep"]),
 ])
 def test_blocks(html, want):
