@@ -191,6 +191,9 @@ SELECT replenishment_urgency, replenishment_status, count(DISTINCT atm_id) AS at
 FROM replenishment_analysis GROUP BY replenishment_urgency, replenishment_status
 """)
 _answer("serve_fraud_risk", "SELECT * EXCLUDE (customer_key) FROM fraud_risk_scoring")
+_answer("serve_fraud_risk_top", """
+SELECT * EXCLUDE (customer_key) FROM fraud_risk_scoring ORDER BY fraud_risk_score DESC NULLS LAST, client_id LIMIT 20
+""")
 _answer("serve_fraud_summary", f"""
 SELECT risk_level, income_segment, age_group, gender, count(*) AS customer_count,
        {_mean('fraud_risk_score')} AS avg_risk_score, CAST(sum(fraud_transactions) AS BIGINT) AS total_fraud_txns,
@@ -238,6 +241,20 @@ _answer("incremental_fact", """
 SELECT card_transaction_key, transaction_id, CAST(transaction_date AS VARCHAR) AS transaction_date, amount_mad
 FROM fact_card_transactions
 """)
+for _key, _seen in (("late", "transaction_date >= DATE '2023-06-18'"), ("strict", "transaction_date > DATE '2023-06-20'"),
+                    ("full", "TRUE")):
+    _answer(f"incremental_fact_{_key}", f"""
+SELECT transaction_id, CAST(transaction_date AS VARCHAR) AS transaction_date, channel, amount_mad FROM silver_kaggle
+WHERE channel <> 'ONLINE' OR {_seen}
+""")
+_answer("dedup_redelivered", """
+SELECT upper(trim(terminal_id)) AS terminal_id, installation_date, CAST(type LIKE '%Dépôt%' AS INTEGER) AS batch_num,
+       CAST(limits + CASE WHEN type LIKE '%Dépôt%' THEN 50000 ELSE 0 END AS DOUBLE) AS cash_limit
+FROM raw_atm_master WHERE terminal_id IS NOT NULL
+""")
+_answer("stg_latest_load", """
+SELECT client_id, credit_score + 10 AS credit_score, yearly_income AS yearly_income_mad FROM silver_customers
+""")
 _answer("upsert_by_key", """
 SELECT mobile_number_masked, transaction_id, strftime(transaction_datetime, '%Y-%m-%d %H:%M:%S.%f') AS transaction_datetime,
        amount_mad

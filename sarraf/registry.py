@@ -14,7 +14,7 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from sarraf.functions import rules, text
 from sarraf.operators import changes, conform, dedup, health, history, merge, quality, quarantine
-from sarraf.plans import dims, gold, serve, silver
+from sarraf.plans import dims, gold, serve, silver, staging
 from sarraf.plans.contracts import CONTRACTS
 from sarraf.plans.lakehouse import SILVER
 from sarraf.plans.warehouse import FACTS, MODELS, Warehouse, fraud_labels
@@ -264,6 +264,8 @@ for _name, _mart, _view in (
 ):
     _register(_name, lambda wh, mart=_mart, view=_view: view(wh.table(mart)))
 
+_register("serve_fraud_risk_top", lambda wh: serve.fraud_risk(wh.table("fraud_risk_scoring"), limit=20))
+
 # --- write path and history --------------------------------------------------------
 
 def _typed_card_transactions(wh: Warehouse) -> DataFrame:
@@ -294,6 +296,35 @@ def _incremental(wh: Warehouse) -> DataFrame:
     return merge.upsert_by_key(loaded, merge.rows_to_load(fact, "transaction_date", newest, 2), "card_transaction_key")
 
 
+def _late_purchases(wh: Warehouse, **options) -> DataFrame:
+    """A second load where online purchases of the first days come late; ``options`` say which rows it looks at."""
+    purchases = wh.table("silver_kaggle").select("transaction_id", "transaction_date", "channel", "amount_mad")
+    first_days = F.col("transaction_date") <= F.lit("2023-06-20").cast("date")
+    loaded = purchases.filter(first_days & (F.col("channel") != "ONLINE"))
+    newest = None if options.pop("full", False) else merge.high_watermark(loaded, "transaction_date")
+    return merge.upsert_by_key(loaded, merge.rows_to_load(purchases, "transaction_date", newest, **options), "transaction_id")
+
+
+def _redelivered(wh: Warehouse) -> DataFrame:
+    """Terminals delivered twice with the same dates, the second time with a higher limit for cash deposits."""
+    first = silver.ATM_MASTER.typed(wh.raw("raw_atm_master"))
+    second = first.filter(F.col("atm_type").contains("Dépôt")).withColumn("cash_limit", F.col("cash_limit") + 50000)
+    both = first.withColumn("batch_num", F.lit(0)).unionByName(second.withColumn("batch_num", F.lit(1)))
+    known = both.filter(F.col("terminal_id").isNotNull()).select(
+        "terminal_id", "installation_date", "cash_limit", "batch_num"
+    )
+    return dedup.latest_per_key(known, "terminal_id", "installation_date")
+
+
+def _two_loads(wh: Warehouse) -> DataFrame:
+    """Customers of two loads, the second with other credit scores."""
+    old = wh.table("silver_customers")
+    new = old.withColumns({
+        "credit_score": F.col("credit_score") + 10, staging.LOADED_AT: F.col(staging.LOADED_AT) + F.expr("interval 1 day")
+    })
+    return staging.stg_customers(old.unionByName(new), keyed=False).select("client_id", "credit_score", "yearly_income_mad")
+
+
 def _purchase_state(wh: Warehouse, period) -> DataFrame:
     rows = wh.table("silver_kaggle").filter(period)
     order = [F.col("transaction_datetime").desc_nulls_last(), F.col("transaction_id")]
@@ -336,6 +367,11 @@ _register("dedup_latest", lambda wh: dedup.latest_per_key(_typed_card_transactio
 _register("high_watermark", lambda wh: health.watermarks({f: wh.table(f) for f in FACTS}, "transaction_date"))
 _register("upsert_by_key", _upserted)
 _register("incremental_fact", _incremental)
+_register("incremental_fact_late", lambda wh: _late_purchases(wh, lateness_days=2))
+_register("incremental_fact_strict", lambda wh: _late_purchases(wh, strict=True))
+_register("incremental_fact_full", lambda wh: _late_purchases(wh, full=True))
+_register("dedup_redelivered", _redelivered)
+_register("stg_latest_load", _two_loads)
 _register("scd2_snapshot", _two_snapshots)
 _register("scd2_validity", _daily_versions)
 _register("cdc_apply", _changed_wallets)
