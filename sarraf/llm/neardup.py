@@ -34,7 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sarraf.llm.common import discard, same, shuffle_tasks, stored, table
+from sarraf.llm.common import discard, frugal, same, shuffle_tasks, stored, table
 from sarraf.llm.components import components, smallest_reachable
 
 WORDS = 5
@@ -64,7 +64,7 @@ class _WordHashes(dict):
     """64-bit hash of each word; forgets all when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = value = xxhash.xxh64_intdigest(word)
         return value
@@ -107,8 +107,8 @@ def _sign(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, prints, bytes_, keys = [], [], [], []
-            for text in batch.column("text").to_pylist():
-                own = shingle_set(text, width)
+            for text in batch.column("text"):
+                own = shingle_set(text.as_py(), width)
                 sizes.append(len(own))
                 if not len(own):
                     prints.append(None), bytes_.append(None), keys.append(None)
@@ -252,7 +252,7 @@ def _compared(percent: int):
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [shingle_set(t, width) for t in batch.column("text").to_pylist()]
+            own = [shingle_set(t.as_py(), width) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), pa.array([xxhash.xxh128_digest(x.tobytes()) for x in own], pa.binary()),
@@ -268,7 +268,7 @@ def _sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame, width: int) ->
     """(id, shingles) of the classes named in ``ids`` (_id); only their documents are read into sets."""
     few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     texts = docs.select("doc_id", "text").join(few, F.col("doc_id") == F.col("_id"), "left_semi")
-    sets = texts.mapInArrow(_sets(width), "id long, set_print binary, shingles binary")
+    sets = texts.mapInArrow(frugal(_sets(width)), "id long, set_print binary, shingles binary")
     # A document of two texts has two sets: the one of its class counts.
     own = classes.select(F.col("rep").alias("_rep"), F.col("set_print").alias("_print"))
     own = own.join(few, F.col("_rep") == F.col("_id"), "left_semi")
@@ -286,7 +286,7 @@ def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int
     sets = _sets_of(docs, classes, ids, width)
     one = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
     two = one.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
-    out = stored(two.mapInArrow(_compared(percent), "a long, b long"), "near-links")
+    out = stored(two.mapInArrow(frugal(_compared(percent)), "a long, b long"), "near-links")
     discard(ids, sets)
     return out
 
@@ -309,7 +309,7 @@ def _linked_crowds(
     sets = _sets_of(docs, classes, ids, width)
     rows = split.join(sets, F.col("doc") == F.col("id")).select("region", "doc", "component", "shingles")
     rows = rows.repartition(shuffle_tasks(docs.sparkSession), "region").sortWithinPartitions("region")
-    return stored(rows.mapInArrow(_crowd_links(percent), "a long, b long"), "near-links")
+    return stored(rows.mapInArrow(frugal(_crowd_links(percent)), "a long, b long"), "near-links")
 
 
 def _region(tree: Column, depth: int) -> Column:
@@ -349,7 +349,7 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT)
     """doc_id, n_shingles, component_id per row of ``docs`` (doc_id, text)."""
     signed = stored(
         docs.select("doc_id", "text").mapInArrow(
-            _sign(width), "doc_id long, n_shingles long, set_print binary, sig binary, keys array<long>"
+            frugal(_sign(width)), "doc_id long, n_shingles long, set_print binary, sig binary, keys array<long>"
         ),
         "near-signed",
     )
@@ -363,7 +363,7 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT)
     rows, stars = forest(classes)
     tasks = shuffle_tasks(docs.sparkSession)
     sorted_rows = rows.repartition(tasks, "region").sortWithinPartitions("region")
-    found = stored(sorted_rows.mapInArrow(_candidates(percent), _CANDIDATE), "near-found")
+    found = stored(sorted_rows.mapInArrow(frugal(_candidates(percent)), _CANDIDATE), "near-found")
     pairs = found.filter("a is not null").select("a", "b")
     pairs = stored((pairs.union(stars) if stars is not None else pairs).distinct(), "near-pairs")
     links = _confirmed(docs, classes, pairs, width, percent)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
-from sarraf.llm.common import table
+from sarraf.llm.common import frugal, table
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 #: All kinds, in the order of spans that start together.
@@ -211,7 +211,7 @@ def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data replaced by its kind; all other columns stay, ``n_chars`` follows the text."""
     fields = [StructField(f.name, f.dataType, True) for f in docs.schema.fields]
-    out = docs.mapInArrow(_redact, StructType(fields))
+    out = docs.mapInArrow(frugal(_redact), StructType(fields))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out

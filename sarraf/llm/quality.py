@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sarraf.llm.common import same, stored, table
+from sarraf.llm.common import frugal, same, stored, table
 
 MIN_WORDS = 20
 WINDOW = 8
@@ -84,7 +84,7 @@ def text_stats(text: str | None) -> tuple[int, int, int, int, int]:
 def _analyse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         stats, hashes, sizes = [], [], []
-        for text in batch.column("text").to_pylist():
+        for text in (t.as_py() for t in batch.column("text")):
             stats.append(text_stats(text))
             own = [normalised(x) for x in (text or "").encode("utf-8", "surrogatepass").split(b"\n")]
             own = [x for x in own if x]
@@ -107,7 +107,7 @@ def assess(
     rows = docs.select("doc_id", "source", F.xxhash64("text").alias("_text"), "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     parsed = rows.mapInArrow(
-        _analyse,
+        frugal(_analyse),
         f"doc_id {kind}, source string, _text long, {', '.join(f'{c} long' for c in STATS)}, "
         "_lines array<long>, _sizes array<long>",
     )
@@ -168,7 +168,7 @@ def clean(docs: DataFrame, **limits: int) -> DataFrame:
     )
     key = same(F.col("doc_id"), F.col("_id")) & same(F.col("source"), F.col("_src")) & (F.xxhash64("text") == F.col("_hash"))
     kept = docs.join(per_text, key).select(*docs.columns, "_gone")
-    out = kept.mapInArrow(_without, docs.schema)
+    out = kept.mapInArrow(frugal(_without), docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out

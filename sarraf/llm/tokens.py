@@ -36,7 +36,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sarraf.llm.common import shuffle_tasks, stored, table
+from sarraf.llm.common import frugal, shuffle_tasks, stored, table
 
 #: Text bytes of a block.
 BLOCK_BYTES = 32 << 20
@@ -85,6 +85,23 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+#: Numbers below this take one byte; words are numbered by frequency.
+COMMON = 240
+
+
+def _packed_positions(numbers: np.ndarray) -> bytes:
+    """Numbers that are mostly small: a byte each, the rest as numbers of their own."""
+    common = zstandard.compress(np.minimum(numbers, COMMON).astype(np.uint8).tobytes(), 9)
+    return len(common).to_bytes(8, "little") + common + _packed(numbers[numbers >= COMMON])
+
+
+def _unpacked_positions(raw: bytes) -> np.ndarray:
+    cut = 8 + int.from_bytes(raw[:8], "little")
+    numbers = np.frombuffer(zstandard.decompress(raw[8:cut]), np.uint8).astype(np.uint32)
+    numbers[numbers == COMMON] = _unpacked(raw[cut:])
+    return numbers
+
+
 _ROW = pa.schema([
     ("block", pa.int64()), ("slice", pa.int32()), ("n", pa.int64()), ("words", pa.binary()),
     ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("positions", pa.binary()),
@@ -96,13 +113,22 @@ _ROW_SQL = (
 
 def _block_rows(block: int, numbers: dict[bytes, int], docs: list, sizes: list[int], at: list[np.ndarray], slices: int):
     """The documents of a block as word numbers, and the words it asks for, slice by slice in the order of their numbers."""
+    positions = np.concatenate([np.empty(0, np.uint32), *at])
+    at.clear()
+    order = np.argsort(-np.bincount(positions, minlength=len(numbers)), kind="stable")
+    rank = np.empty(len(numbers), np.uint32)
+    rank[order] = np.arange(len(numbers))
+    words = list(numbers)
+    numbers.clear()
+    words = [words[i] for i in order.tolist()]
+    of_slice = np.fromiter((zlib.crc32(w) % slices for w in words), np.uint32, len(words))
     asked: list[list[bytes]] = [[] for _ in range(slices)]
-    of_slice = np.fromiter((zlib.crc32(w) % slices for w in numbers), np.uint32, len(numbers))
-    for word, i in zip(numbers, of_slice.tolist(), strict=True):
+    for word, i in zip(words, of_slice.tolist(), strict=True):
         asked[i].append(word)
-    numbers.clear()
+    del words
     rows = [{"block": block, "slice": -1, "n": len(docs), "words": _packed(of_slice), "doc_ids": docs, "sizes": sizes,
-             "positions": _packed(np.concatenate(at) if at else np.empty(0, np.uint32))}]
+             "positions": _packed_positions(rank[positions])}]
+    del positions
     for i, some in enumerate(asked):
         if some:
             rows.append({"block": block, "slice": i, "n": len(some), "words": zstandard.compress(b"\n".join(some), 9)})
@@ -196,7 +222,7 @@ def _put_in_place(model: str):
             flats.append(_unpacked(a["positions"]))
             done += len(flats[-1])
         flat = np.concatenate(flats)
-        positions, sizes = _unpacked(row["positions"]), np.array(row["sizes"], np.int64)
+        positions, sizes = _unpacked_positions(row["positions"]), np.array(row["sizes"], np.int64)
         edges = np.concatenate([[0], np.cumsum(sizes)])
         reach = np.concatenate([[0], np.cumsum(counts[positions])])
         at = 0
@@ -236,17 +262,17 @@ def encode(docs: DataFrame, path: str | None = None, block_bytes: int = BLOCK_BY
     # The input has size / 6 words or so; distinct in a block are a fifth of them at most.
     slices = max(1, -(-size // (30 * SLICE_WORDS)))
     numbered = stored(
-        docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_number_words(slices, block_bytes), _ROW_SQL),
+        docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(frugal(_number_words(slices, block_bytes)), _ROW_SQL),
         "token-blocks",
     )
     tasks = shuffle_tasks(spark)
     asked = numbered.filter("slice >= 0").repartition(tasks, "slice").sortWithinPartitions("slice", "block")
-    answered = asked.mapInArrow(_encode_words(model), _ROW_SQL)
+    answered = asked.mapInArrow(frugal(_encode_words(model)), _ROW_SQL)
     # Answers come before the documents of their block.
     rows = answered.union(numbered.filter("slice < 0")).repartition(tasks, "block").sortWithinPartitions(
         "block", F.col("slice").desc()
     )
-    return rows.mapInArrow(_put_in_place(model), "doc_id long, ids array<int>, decoded string")
+    return rows.mapInArrow(frugal(_put_in_place(model)), "doc_id long, ids array<int>, decoded string")
 
 
 def digests(encoded: DataFrame, *more: str) -> DataFrame:
