@@ -5,11 +5,16 @@ one class, found by a fingerprint of the set, and one document of each class
 goes on.  Its signature has ``TREES * DEPTH`` minima; tree ``t`` orders the
 documents by the signature rotated to start at minimum ``t * DEPTH``.  In each
 order, documents that share the longest prefixes stand together: the regions of
-a tree are the documents with a common prefix of ``DEPTH`` minima, and a region
-of over ``REGION`` documents is divided by longer prefixes until it is not, so
-the depth adapts to how crowded it is.  Documents of one region are candidates
-if their signatures agree on enough minima; candidates are confirmed on the
-full sets.
+a tree are the documents with a common prefix of ``DEPTH`` minima.  Documents of
+one region are candidates if their signatures agree on enough minima; candidates
+are confirmed on the full sets.
+
+A region of over ``REGION`` documents is first divided by longer prefixes until
+it is not, which joins most of what is close at little cost.  Then it is taken
+whole: as long as its documents are in several components, those outside its
+largest component are compared with all others, in pairs of blocks, so every two
+documents of a region have been compared or are in one component.  The trees
+take turns at that, since what one tree joins the next need not compare.
 
 Candidates of a crowded region are not listed pair by pair: each document is
 paired with the smallest similar one first.  When the confirmed links have been
@@ -42,11 +47,13 @@ PERCENT = 80
 TREES = 20
 DEPTH = 4
 SIGNATURE = TREES * DEPTH
-#: Documents of a region that are compared in one task.
+#: Documents that are compared in one task: of a region, or of two blocks of a crowded one.
 REGION = 1024
+#: Trees whose crowded regions are compared whole, one group after the other.
+TURNS = ((0, 1), (1, 4), (4, TREES))
 #: Regions up to this size list all their candidates.
 SMALL = 6
-#: Prefix lengths a crowded region is divided by, one after the other.
+#: Prefix lengths a crowded region is divided by at first, one after the other.
 DEPTHS = (6, 9, 13, 20, 40, SIGNATURE)
 #: Share of minima that candidates agree on: 4 standard deviations below 0.8.
 AGREE = int(SIGNATURE * (0.8 - 4 * (0.8 * 0.2 / SIGNATURE) ** 0.5))
@@ -199,6 +206,45 @@ def _candidates(percent: int):
     return _by_region(answer)
 
 
+def _across(percent: int):
+    """Pairs between components within a block or across two: for each document the candidate that agrees most.
+
+    Of the others, that are held back, the documents as well.
+    """
+
+    def answer(whole: pa.Table) -> Iterator[pa.RecordBatch]:
+        doc, comp = whole.column("doc").to_numpy(), whole.column("component").to_numpy()
+        n, side = whole.column("n").to_numpy(), whole.column("side").to_numpy()
+        sig = np.frombuffer(b"".join(whole.column("sig").to_pylist()), np.uint8).reshape(-1, SIGNATURE)
+        left = right = np.arange(len(doc))
+        if whole.column("across")[0].as_py():
+            left, right = np.flatnonzero(side == side.min()), np.flatnonzero(side != side.min())
+        if not len(right):
+            return
+        step = max(1, (1 << 22) // (len(right) * SIGNATURE) + 1)
+        agree = np.concatenate([
+            (sig[left[at : at + step], None, :] == sig[right][None, :, :]).sum(axis=2, dtype=np.uint8)
+            for at in range(0, len(left), step)
+        ])
+        low, high = np.minimum(n[left, None], n[right]), np.maximum(n[left, None], n[right])
+        like = (agree >= AGREE) & (100 * low >= percent * high) & (comp[left, None] != comp[right])
+        agree = np.where(like, agree, 0)
+        i, j = np.flatnonzero(like.any(axis=1)), np.flatnonzero(like.any(axis=0))
+        x, y = np.concatenate([i, agree[:, j].argmax(axis=0)]), np.concatenate([agree[i].argmax(axis=1), j])
+        like[x, y] = False
+        one, two = doc[left[x]], doc[right[y]]
+        none = pa.nulls(len(one), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), none, none], ["a", "b", "region", "doc"]
+        )
+        held = pa.array(np.union1d(left[like.any(axis=1)], right[like.any(axis=0)]), pa.int64())
+        none = pa.nulls(len(held), pa.int64())
+        columns = [whole.column(c).combine_chunks().take(held) for c in ("region", "doc")]
+        yield pa.RecordBatch.from_arrays([none, none, *columns], ["a", "b", "region", "doc"])
+
+    return _by_region(answer)
+
+
 def _common_counts(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all pairs of sets."""
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -318,18 +364,24 @@ def _region(tree: Column, depth: int) -> Column:
     return F.xxhash64("region", F.substring(turned, DEPTH + 1, depth - DEPTH))
 
 
-def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, stars): rows (region, doc, n, sig) of all trees, and pairs (a, b) of documents with one signature."""
+def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """(rows, stars, whole): rows (region, doc, n, sig) of all trees, pairs (a, b) of documents with one signature.
+
+    ``whole`` has the rows of the crowded regions as they were before they were divided, with their tree.
+    """
     rows = classes.select(
         F.col("rep").alias("doc"), F.col("n_shingles").alias("n"), "sig", F.posexplode("keys").alias("tree", "_key")
     ).select("doc", "n", "sig", "tree", F.xxhash64("tree", "_key").alias("region"))
-    stars = None
+    stars = whole = None
     for depth in DEPTHS:
         sizes = rows.groupBy(F.col("region").alias("_region")).agg(F.count("*").alias("_n"), F.min("doc").alias("_least"))
         crowded = stored(sizes.filter(F.col("_n") > REGION), "near-crowded")
         if crowded.isEmpty():
             discard(crowded)
             break
+        if whole is None:
+            own = rows.join(crowded, F.col("region") == F.col("_region"), "left_semi")
+            whole = stored(own.select("region", "doc", "n", "sig", "tree"), "near-whole")
         met = rows.join(crowded, F.col("region") == F.col("_region"), "left")
         deeper = F.when(F.col("_region").isNull(), F.col("region")).otherwise(_region(F.col("tree"), depth))
         rows = met.select("doc", "n", "sig", "tree", deeper.alias("region"))
@@ -339,7 +391,68 @@ def forest(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         met = rows.join(crowded, F.col("region") == F.col("_region"), "left")
         stars = met.filter("_region is not null and doc <> _least").select(F.col("_least").alias("a"), F.col("doc").alias("b"))
         rows = met.filter("_region is null").select("doc", "n", "sig", "tree", "region")
-    return rows.select("region", "doc", "n", "sig"), stars
+    return rows.select("region", "doc", "n", "sig"), stars, whole
+
+
+def _blocks(whole: DataFrame, comps: DataFrame) -> DataFrame | None:
+    """Regions with several components as pairs of blocks; pairs within the largest component are left out."""
+    named = whole.join(comps, F.col("doc") == F.col("node"), "left").select(
+        "region", "doc", "n", "sig", F.coalesce("component", "doc").alias("component")
+    )
+    named = stored(named, "near-whole")
+    sizes = named.groupBy("region", "component").agg(F.count("*").alias("_n"))
+    block = F.lit(max(1, REGION // 2))
+    split = stored(
+        sizes.groupBy(F.col("region").alias("_region"))
+        .agg(F.max(F.struct("_n", "component")).alias("_m"), F.sum("_n").alias("_all"))
+        .filter("_m._n < _all")
+        .select(
+            "_region", F.col("_m.component").alias("_main"), F.ceil(F.col("_m._n") / block).alias("_big"),
+            F.ceil((F.col("_all") - F.col("_m._n")) / block).alias("_rest"),
+        ),
+        "near-split",
+    )
+    if split.isEmpty():
+        discard(named, split)
+        return None
+    met = named.join(split, F.col("region") == F.col("_region")).withColumn("_h", F.xxhash64("doc", "region"))
+    main = F.col("component") == F.col("_main")
+    met = met.withColumns({
+        "side": F.when(main, F.pmod("_h", "_big")).otherwise(F.col("_big") + F.pmod("_h", "_rest")),
+        "_from": F.when(main, F.col("_big")).otherwise(F.lit(0).cast("long")),
+    })
+    other = F.explode(F.sequence(F.col("_from"), F.col("_big") + F.col("_rest") - 1)).alias("_other")
+    return met.select("region", "doc", "n", "sig", "component", "side", other).select(
+        F.xxhash64("region", F.least("side", "_other"), F.greatest("side", "_other")).alias("region"),
+        "doc", "n", "sig", "component", "side", (F.col("side") != F.col("_other")).alias("across"),
+    )
+
+
+def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, component) with further links (a, b)."""
+    known = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return stored(components(known.union(links.select("a", "b"))), "near-components")
+
+
+def _compared_whole(
+    docs: DataFrame, classes: DataFrame, whole: DataFrame, comps: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """The components when all documents of crowded regions have been compared with all."""
+    dealt = _blocks(whole, comps)
+    if dealt is None:
+        return comps
+    dealt = dealt.repartition(shuffle_tasks(docs.sparkSession), "region").sortWithinPartitions("region")
+    found = stored(dealt.mapInArrow(frugal(_across(percent)), _CANDIDATE), "near-found")
+    pairs = stored(found.filter("a is not null").select("a", "b").distinct(), "near-pairs")
+    if pairs.isEmpty():
+        return comps
+    comps = _joined(comps, _confirmed(docs, classes, pairs, width, percent))
+    crowds = found.filter("a is null").select("region", "doc")
+    if not crowds.isEmpty():
+        more = _linked_crowds(docs, classes, crowds, comps, width, percent)
+        if more is not None:
+            comps = _joined(comps, more)
+    return comps
 
 
 _CANDIDATE = "a long, b long, region long, doc long"
@@ -360,7 +473,7 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT)
         ),
         "near-classes",
     )
-    rows, stars = forest(classes)
+    rows, stars, whole = forest(classes)
     tasks = shuffle_tasks(docs.sparkSession)
     sorted_rows = rows.repartition(tasks, "region").sortWithinPartitions("region")
     found = stored(sorted_rows.mapInArrow(frugal(_candidates(percent)), _CANDIDATE), "near-found")
@@ -372,7 +485,11 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT)
     if not crowds.isEmpty():
         more = _linked_crowds(docs, classes, crowds, comps, width, percent)
         if more is not None:
-            comps = stored(components(links.union(more)), "near-components")
+            comps = _joined(comps, more)
+    if whole is not None:
+        for first, end in TURNS:
+            turn = whole.filter((F.col("tree") >= first) & (F.col("tree") < end))
+            comps = _compared_whole(docs, classes, turn, comps, width, percent)
     named = stored(
         classes.select("set_print", "rep").join(comps, F.col("rep") == F.col("node"), "left").select(
             F.col("set_print").alias("_print"), F.coalesce("component", "rep").alias("_component")

@@ -67,6 +67,15 @@ def test_crowded_regions(spark, monkeypatch):
     assert sum(got[i] == expected[i] for i in got) >= 0.95 * len(got)
 
 
+def test_crowded_regions_lose_no_link(spark, monkeypatch):
+    """Copies that link to their base only, and copies of copies, in regions far over the size of a task."""
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(200)]
+    rows = [(500, " ".join(base))] + [(k, near(rng, base, 7)) for k in range(150)]
+    monkeypatch.setattr(neardup, "REGION", 32)
+    assert result(neardup.near_duplicates(frame(spark, rows))) == plain(rows, 5)
+
+
 def test_pairs_held_back_are_found_in_the_second_round(spark):
     """Two close groups that only meet beyond their smallest members."""
     words = [f"w{k}" for k in range(400)]
