@@ -5,10 +5,13 @@ classes to it, repeated siblings counting as one.  The slots of a page, in
 page order, are its skeleton.  Per host the most frequent skeleton is the
 reference; every other skeleton of the host is aligned with it by simple tree
 matching, so that slots of all pages of the host can be compared.  A text that
-nearly all pages of a host have in the same slot is template; slots that vary
-are content.  Parts that markup names as menu, header, footer, sidebar, notice,
-advert, form, script, style or reader comments are never content, and where a page marks
-its article, only that is.
+nearly all pages of a host have in the same slot is template, inside an article
+too; slots that vary are content.  Where pages mark an article, the content is in it
+or outside of it, wherever the pages of the host that do so have more varying
+text; on hosts with few such pages, or where nothing varies, the article is the content.
+Parts that markup names as menu, header, footer, sidebar, notice, advert, form,
+script, style or reader comments are never content: adverts and comments vary,
+so alignment cannot tell them from content.
 
 Tree matching runs once per distinct skeleton of a host, texts are counted in
 the map tasks first, and what is joined back to pages is bounded by the size of
@@ -330,11 +333,29 @@ def extract(pages: DataFrame) -> DataFrame:
         .groupBy(F.col("host").alias("_th")).agg(F.collect_set(F.struct("slot", "print")).alias("_template")),
         "page-template",
     )
-    judged = parsed.join(template, F.col("host") == F.col("_th"), "left")
     marked = F.exists("blocks", lambda b: b["article"])
     fixed = F.coalesce("_template", F.array().cast("array<struct<slot:bigint,print:bigint>>"))
-    content = F.when(marked, F.filter("blocks", lambda b: b["article"])).otherwise(
-        F.filter("blocks", lambda b: ~F.array_contains(fixed, F.struct(b["slot"], b["print"])))
+    judged = parsed.join(template, F.col("host") == F.col("_th"), "left").withColumn(
+        "_varying", F.filter("blocks", lambda b: ~F.array_contains(fixed, F.struct(b["slot"], b["print"])))
+    )
+
+    def chars(inside: bool):
+        own = F.filter("_varying", lambda b: b["article"] == F.lit(inside))
+        return F.sum(F.aggregate(own, F.lit(0).cast("long"), lambda n, b: n + F.char_length(b["text"])))
+
+    roots = stored(
+        judged.filter(marked).groupBy(F.col("host").alias("_rh")).agg(
+            chars(True).alias("_inside"), chars(False).alias("_outside"), F.count("*").alias("_n")
+        ).filter(F.col("_n") >= TEMPLATE_PAGES).drop("_n"),
+        "page-roots",
+    )
+    judged = judged.join(roots, F.col("host") == F.col("_rh"), "left")
+    unclear = F.coalesce(F.col("_inside") + F.col("_outside"), F.lit(0)) == 0
+    content = (
+        F.when(~marked, F.col("_varying"))
+        .when(unclear, F.filter("blocks", lambda b: b["article"]))
+        .when(F.col("_inside") >= F.col("_outside"), F.filter("_varying", lambda b: b["article"]))
+        .otherwise(F.filter("_varying", lambda b: ~b["article"]))
     )
     return judged.select("page_id", "url", F.array_join(F.transform(content, lambda b: b["text"]), "\n").alias("text"))
 

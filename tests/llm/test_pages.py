@@ -54,6 +54,15 @@ def test_template_of_a_host_goes_and_articles_stay(spark):
     assert pages.extract(frame(spark, rows)).count() == len(rows)
 
 
+def test_template_goes_from_articles_and_varying_text_is_the_root(spark):
+    rows = [(i, f"http://a.example/{i}", f"<article><p>Story {i}</p><div class=tell><p>Tell a friend</p></div></article>") for i in range(12)]
+    rows += [(100 + i, f"http://b.example/{i}", f"<div class=story><p>Long story number {i}</p></div><article><p>See {i}</p></article>") for i in range(12)]
+    rows += [(200 + i, f"http://b2.example/{i}", f"<div class=x><p>Top</p></div><div class=story><p>Long story number {i}</p></div><article><p>See {i}</p></article>") for i in range(12)]
+    got = result(frame(spark, rows))
+    assert all(got[i] == f"Story {i}" for i in range(12))
+    assert all(got[k + i] == f"Long story number {i}" for k in (100, 200) for i in range(12))
+
+
 def test_empty_table_and_long_page(spark):
     assert result(frame(spark, []).limit(0)) == {}
     html = "<article>" + "".join(f"<p>par {k}</p>" for k in range(50_000)) + "</article>"
