@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sarraf.llm import chat, mixing, neardup, pages, pii, quality, sharding, suffixes, tokens, vectors
+from sarraf.llm import chat, clusters, mixing, neardup, pages, pii, quality, sharding, suffixes, tokens, vectors
 
 QUERIES = {
     "op1_line_frequency": quality.op1_line_frequency,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_itq_hamming": vectors.op8_itq_hamming,
     "op9_wrapper_induction": pages.op9_wrapper_induction,
     "op10_sainte_lague_mix": mixing.op10_sainte_lague_mix,
+    "op11_laesa_clusters": clusters.op11_laesa_clusters,
 }
 
 ANSWERS = {
@@ -22,4 +23,5 @@ ANSWERS = {
     "op2_lsh_forest": neardup.OP2_SQL,
     "op4_columnar_chat": chat.OP4_SQL,
     "op8_itq_hamming": vectors.OP8_SQL,
+    "op11_laesa_clusters": clusters.OP11_SQL,
 }
