@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sarraf.llm import chat, clusters, mixing, neardup, packing, pages, pii, quality, sharding, suffixes, tokens, vectors
+from sarraf.llm import alignment, chat, clusters, mixing, neardup, packing, pages, pii, quality, sharding, suffixes, tokens, vectors
 
 QUERIES = {
     "op1_line_frequency": quality.op1_line_frequency,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_sainte_lague_mix": mixing.op10_sainte_lague_mix,
     "op11_laesa_clusters": clusters.op11_laesa_clusters,
     "op12_dot_product_packing": packing.op12_dot_product_packing,
+    "op13_tokenizer_spans": alignment.op13_tokenizer_spans,
 }
 
 ANSWERS = {
