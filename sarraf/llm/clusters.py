@@ -217,24 +217,17 @@ def cluster(
     return stored(measured.mapInArrow(frugal(_final_rows(centroids, pivots)), kind), "cluster-final"), centroids
 
 
-def _as_long(total):
-    return F.least(total, F.lit(LONGEST).cast("decimal(38,0)")).cast("long")
-
-
 def with_inertia(assigned: DataFrame, centroids: np.ndarray) -> DataFrame:
-    """``assigned`` with the sums of distances and a digest of the final centroid; the tables joined have a row per cluster."""
-    prints = [
-        (c, hashlib.sha256(",".join(map(str, row)).encode()).hexdigest()) for c, row in enumerate(centroids.tolist())
+    """``assigned`` with the sums of distances and a digest of the final centroid; one row per cluster reaches the driver."""
+    sums = assigned.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("s")).collect()
+    per_cluster = {r.cluster: int(r.s) for r in sums}
+    whole = min(sum(per_cluster.values()), LONGEST)
+    rows = [
+        (c, min(total, LONGEST), whole, hashlib.sha256(",".join(map(str, centroids[c].tolist())).encode()).hexdigest())
+        for c, total in per_cluster.items()
     ]
-    prints = assigned.sparkSession.createDataFrame(prints, "_number int, centroid_sha256 string")
-    total = F.sum(F.col("distance").cast("decimal(38,0)"))
-    per_cluster = assigned.groupBy(F.col("cluster").alias("_cluster")).agg(total.alias("_sum"))
-    whole = assigned.agg(total.alias("_whole"))
-    named = prints.join(per_cluster, F.col("_number") == F.col("_cluster"), "left").join(F.broadcast(whole))
-    return assigned.join(F.broadcast(named), F.col("cluster") == F.col("_number")).select(
-        "vec_id", "cluster", "distance", _as_long(F.col("_sum")).alias("cluster_inertia"),
-        _as_long(F.col("_whole")).alias("inertia"), "centroid_sha256",
-    )
+    named = assigned.sparkSession.createDataFrame(rows, "_number int, cluster_inertia long, inertia long, centroid_sha256 string")
+    return assigned.join(F.broadcast(named), F.col("cluster") == F.col("_number")).drop("_number")
 
 
 def op11_laesa_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
