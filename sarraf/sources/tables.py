@@ -50,6 +50,35 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def note(spark: SparkSession, path: str, name: str) -> str | None:
+    """What was noted about a table, next to its data; readers of the table do not see it."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_{name}")
+    system = file.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(file):
+        return None
+    stream = system.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_note(spark: SparkSession, path: str, name: str, text: str) -> None:
+    file = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_{name}")
+    stream = file.getFileSystem(spark._jsc.hadoopConfiguration()).create(file, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder to a name that is free."""
+    source, goal = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    if not source.getFileSystem(spark._jsc.hadoopConfiguration()).rename(source, goal):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
 def read(
     spark: SparkSession, path: str, schema: StructType | None = None, fmt: str = "parquet", with_bucket: bool = False
 ) -> DataFrame:
@@ -66,9 +95,14 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
     return spark.createDataFrame([], schema)
 
 
-def write(df: DataFrame, path: str, partition: str | None = None, only_touched: bool = False) -> int:
+def write(
+    df: DataFrame, path: str, partition: str | None = None, only_touched: bool = False, key: str | None = None
+) -> int:
     """Write a Parquet table; returns the row count.
 
+    With a ``key`` every row group gets a Bloom filter of its values, sized by
+    their number, so that a search for some keys skips the groups without them.
+
     The whole table is replaced, or with ``only_touched`` just the partitions
     that ``df`` has rows for.  The count is observed while writing, so it costs
     no extra run.  Rows of one partition value are brought together first (hot
@@ -81,6 +115,10 @@ def write(df: DataFrame, path: str, partition: str | None = None, only_touched:
         writer = out.hint("rebalance", partition).write.partitionBy(partition)
     else:
         writer = out.write
+    if key is not None:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option(
+            "parquet.bloom.filter.adaptive.enabled", "true"
+        )
     writer.mode("overwrite").option("compression", "snappy").option(
         "partitionOverwriteMode", "dynamic" if only_touched else "static"
     ).parquet(path)
@@ -95,9 +133,9 @@ def _observed_rows(seen: Observation) -> int:
         return 0
 
 
-def stage(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+def stage(df: DataFrame, path: str, partition: str | None = None) -> tuple[DataFrame, int]:
     """Write ``df`` and go on from the written copy: later steps do not compute it again."""
-    rows = write(df, path)
+    rows = write(df, path, partition)
     return df.sparkSession.read.schema(df.schema).parquet(path), rows
 
 

@@ -143,3 +143,86 @@ def test_change_feed(spark, rows):
         "key string, v int, seq int, op string",
     )
     assert rows(changes.apply_changes(target, feed, "key", ["seq"])) == [("b", 7), ("c", 9)]
+
+
+def rows_read(spark, query):
+    """Rows that left the Parquet scan of a frame."""
+    executed = query._jdf.queryExecution()
+    query._jdf.collectToPython()
+    plan, found = [executed.executedPlan()], []
+    while plan:
+        node = plan.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            node = node.executedPlan()
+        if node.nodeName().startswith("Scan"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        plan += [children.apply(i) for i in range(children.size())]
+    return sum(found)
+
+
+def test_row_groups_without_the_keys_are_not_read(spark, tmp_path):
+    """Hashed keys defeat minimum and maximum: only the Bloom filters tell which of 20 files to read."""
+    path = str(tmp_path / "t")
+    ids = spark.range(20_000).select(
+        F.md5(F.col("id").cast("string")).alias("key"), F.date_add(F.lit(day(1)), (F.col("id") % 20).cast("int")).alias("day"),
+        F.col("id").cast("int").alias("v"),
+    )
+    merge.merge_into(spark, path, ids, "key", "day")
+    batch = ids.filter("v IN (5, 25)").withColumn("v", F.lit(-1))
+    found = merge.holding(tables.read(spark, path), batch, "key", 2)
+    assert rows_read(spark, found) <= 3000 and found.count() == 2
+    many = merge.holding(tables.read(spark, path), ids.filter("v < 2000"), "key", 2000)
+    assert many.count() == 2000
+    merge.merge_into(spark, path, batch, "key", "day")
+    after = tables.read(spark, path)
+    assert after.count() == 20_000 and after.filter("v = -1").count() == 2
+
+
+def test_a_table_keeps_its_number_of_buckets(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    data = [(f"k{i}", day(1), i) for i in range(20)]
+    merge.merge_into(spark, path, frame(spark, *data), "key")
+    merge.merge_into(spark, path, frame(spark, *((k, d, v + 100) for k, d, v in data), ("new", day(2), 0)), "key", buckets=7)
+    assert merge.bucket_count(spark, path) == merge.BUCKETS
+    assert rows(tables.read(spark, path), "key", "v") == sorted([*((k, v + 100) for k, _, v in data), ("new", 0)])
+
+
+def test_rebucket_keeps_rows_and_later_merges_right(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    data = [(f"k{i}", day(1), i) for i in range(200)]
+    merge.merge_into(spark, path, frame(spark, *data), "key", buckets=4)
+    assert merge.rebucket(spark, path, "key", bucket_rows=2) == 128
+    assert merge.rebucket(spark, path, "key", bucket_rows=2) == 128
+    merge.merge_into(spark, path, frame(spark, ("k7", day(2), -7), ("z", day(2), 1)), "key", buckets=4)
+    assert rows(tables.read(spark, path), "key", "v") == sorted([*((k, v) for k, _, v in data if k != "k7"), ("k7", -7), ("z", 1)])
+    # A job that died between removing the old table and renaming the new one.
+    tables.move(spark, path, f"{path}-rebucketed")
+    merge.merge_into(spark, path, frame(spark, ("z", day(3), 2)), "key")
+    assert tables.read(spark, path).count() == 201 and merge.bucket_count(spark, path) == 128
+    with pytest.raises(ValueError, match="no buckets"):
+        merge.rebucket(spark, str(tmp_path / "none"), "key")
+
+
+def test_later_row_wins_ties(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    for batch in ([("a", day(5), 9)], [("a", day(5), 3), ("b", day(1), 1)], [("a", day(4), 7)]):
+        merge.merge_into(spark, path, frame(spark, *batch), "key", newest="day", later_wins=True)
+    assert rows(tables.read(spark, path), "key", "v") == [("a", 3), ("b", 1)]
+
+
+def test_merge_tells_what_it_touched(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert merge.merge(spark, path, frame(spark, ("a", day(1), 1), ("b", day(2), 2)), "key", "day").partitions is None
+    done = merge.merge(spark, path, frame(spark, ("a", day(3), 1)), "key", "day")
+    assert (done.rows, sorted(done.partitions)) == (1, [day(1), day(3)])
+
+
+def test_late_rows_are_counted_and_left_out(spark, rows):
+    from pyspark.sql import Observation
+
+    staged = frame(spark, ("late", day(4), 1), ("same", day(5), 2), ("new", day(6), 3), ("undated", None, 4))
+    for watermark, kept, late in ((day(5), ["new", "undated"], 2), (None, ["late", "new", "same", "undated"], 0)):
+        seen = Observation()
+        assert [r[0] for r in rows(merge.without_late(staged, "day", watermark, seen), "key")] == kept
+        assert seen.get == {"delivered": 4, "late": late, "undated": 1}
