@@ -24,8 +24,11 @@ columns are not kept.
 
 from __future__ import annotations
 
+import itertools
+import re
 import zlib
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -43,7 +46,7 @@ LEAST_CUT = 16
 #: Id after each document.
 END_ID = 2
 #: Examples and tokens that are packed together.
-BLOCK_EXAMPLES = 4096
+BLOCK_EXAMPLES = 2048
 BLOCK_TOKENS = 4 << 20
 #: Open ends of partitions that are packed together.
 ENDS = 256
@@ -54,68 +57,108 @@ WORD_BYTES = 32 << 20
 CHUNK_IDS = 1_000_000
 
 
+#: What the vocabulary splits a lower-case ASCII word into.
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: A word of letters with marks behind it.
+_MARKED = re.compile(r"(.*[^\W\d_])([.,;:!?]+)")
+
+
+def parts_of(word: str) -> list[str]:
+    """Runs of a word that the vocabulary encodes on their own; a word it may read otherwise is one part."""
+    if "<|" in word:
+        return [word]
+    if word.isascii():
+        return _PARTS.findall(word.lower())
+    marked = _MARKED.fullmatch(word)
+    return [marked[1], marked[2]] if marked and marked[1].isalpha() else [word]
+
+
 class WordIds:
-    """Ids of texts; white space never joins tokens of this vocabulary, so each distinct word is encoded once."""
+    """Ids of texts.
+
+    White space never joins tokens of this vocabulary, so each distinct word is
+    encoded once; and since every run of letters or marks ends in a token that
+    says so, the runs of many words are encoded as one text and told apart again.
+    """
 
     def __init__(self, model: str):
-        self.model = model
+        self.own = _tokenizer(model)
+        names = self.own.get_vocab(with_added_tokens=False)
+        self.last = np.zeros(max(names.values()) + 3, bool)
+        self.last[[i for name, i in names.items() if name.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers: dict[bytes, int] = {}
+        self.numbers: defaultdict[bytes, int] = defaultdict(itertools.count().__next__)
         self.held = 0
         self.flat, self.starts, self.counts = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
 
+    def _alone(self, parts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.own.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def _together(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends) of parts that are one run each."""
+        groups = [parts[i : i + 500] for i in range(0, len(parts), 500)]
+        ids, counts = [], []
+        for group, e in zip(groups, self.own.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            own = np.array(e.ids, np.int32)
+            ends = np.flatnonzero(self.last[own]) + 1
+            if len(ends) != len(group):  # some part is not one run after all
+                found = self._alone(group)
+                own = np.fromiter(itertools.chain.from_iterable(found), np.int32)
+                ends = np.cumsum([len(x) for x in found])
+            ids.append(own)
+            counts.append(np.diff(ends, prepend=0))
+        return np.concatenate([np.empty(0, np.int32), *ids]), np.cumsum(np.concatenate([np.empty(0, np.int64), *counts]))
+
+    def _learn(self, words: list[str]) -> None:
+        """Put the ids of new words behind those known."""
+        split = [parts_of(w) for w in words]
+        distinct = list(dict.fromkeys(itertools.chain.from_iterable(split)))
+        single = [p for p in distinct if p.isascii() and "<|" not in p or p.isalpha()]
+        others = sorted(set(distinct).difference(single))
+        flat, ends = self._together(single)
+        rest = self._alone(others)
+        flat = np.concatenate([flat, np.fromiter(itertools.chain.from_iterable(rest), np.int32)])
+        ends = np.concatenate([ends, (ends[-1] if len(ends) else 0) + np.cumsum([len(x) for x in rest], dtype=np.int64)])
+        counts = np.diff(ends, prepend=0)
+        at = {p: i for i, p in enumerate(itertools.chain(single, others))}
+        n = np.fromiter(map(len, split), np.int64, len(split))
+        which = np.fromiter(map(at.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(n.sum()))
+        of_words = np.concatenate([[0], np.cumsum(counts[which])])[np.concatenate([[0], np.cumsum(n)])]
+        self.starts = np.concatenate([self.starts, len(self.flat) + of_words[:-1]])
+        self.counts = np.concatenate([self.counts, np.diff(of_words)])
+        self.flat = np.concatenate([self.flat, _gathered(flat, (ends - counts)[which], counts[which])])
+
     def of(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         if len(self.numbers) > WORDS or self.held > WORD_BYTES:
             self._forget()
         known = len(self.numbers)
-        numbers = self.numbers
-        rows = []
-        for text in texts:
-            words = text.split()
-            rows.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words)))
-        new = list(numbers)[known:] if len(numbers) > known else []
-        self.held += sum(map(len, new))
-        found = []
-        for at in range(0, len(new), 50_000):
-            some = [w.decode("utf-8", "replace") for w in new[at : at + 50_000]]
-            found += [e.ids for e in _tokenizer(self.model).encode_batch_fast(some, add_special_tokens=False)]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.int32, int(counts.sum()))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
-        self.counts = np.concatenate([self.counts, counts])
-        self.flat = np.concatenate([self.flat, flat])
+        rows = [np.array(list(map(self.numbers.__getitem__, t.split())), np.int64) for t in texts]
+        if len(self.numbers) > known:
+            new = list(itertools.islice(self.numbers, known, None))
+            self.held += sum(map(len, new))
+            self._learn([w.decode("utf-8", "replace") for w in new])
         for row in rows:
             yield _gathered(self.flat, self.starts[row], self.counts[row])
 
 
 def _encoded(model: str, end: int | None):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of documents (doc_id, text) as examples: all tokens bear loss."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, np.ndarray, None]]:
         words = WordIds(model)
         last = np.array([] if end is None else [end], np.int32)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in part.column("text")]
-                rows = [np.concatenate([ids, last]) for ids in words.of(texts)]
-                offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
-                flat = np.concatenate([np.empty(0, np.int32), *rows])
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["example_id", "ids"])
+                for example, ids in zip(part.column("doc_id").to_pylist(), words.of(texts), strict=True):
+                    yield example, np.concatenate([ids, last]), None
 
     return run
 
 
-def document_examples(docs: DataFrame, path: str | None = None, end: int | None = END_ID) -> DataFrame:
-    """(example_id, ids, loss) of every row of ``docs`` (doc_id, text): all tokens bear loss."""
-    model = Path(path or vocabulary()).read_text(encoding="utf-8")
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        frugal(_encoded(model, end)), "example_id long, ids array<int>"
-    )
-    return rows.withColumn("loss", F.lit(None).cast("array<boolean>"))
-
-
 @dataclass
 class Piece:
     """A run of tokens of an example, where ``before`` tokens of the example precede it."""
@@ -170,39 +213,40 @@ class Limits:
 def pack_block(pieces: list[Piece], limits: Limits) -> tuple[list[list[Piece]], list[Piece]]:
     """(closed sequences, pieces of the open one)."""
     waiting = [p for piece in pieces for p in limits.fitted(piece)]
-    size = np.array([[len(p.ids), 1, p.n_loss] for p in waiting], np.int64).reshape(-1, 3)
-    whole = np.array([limits.capacity, limits.max_segments, limits.max_loss], np.int64)
-    share = size / np.maximum(whole, 1)
-    weight = share.sum(axis=0)
-    closed, room, now = [], whole.copy(), []
+    tokens = np.array([len(p.ids) for p in waiting], np.int64)
+    loss = np.array([p.n_loss for p in waiting], np.int64)
+    # Weight of each limit: how much of it all pieces ask for.
+    by_tokens, by_loss = tokens.sum() / limits.capacity, loss.sum() / limits.max_loss
+    by_segments = len(waiting) / limits.max_segments
+    closed, now, room, segments, spare = [], [], limits.capacity, limits.max_segments, limits.max_loss
     while waiting:
-        fits = np.flatnonzero((size <= room).all(axis=1))
-        if len(fits):
-            i = int(fits[(share[fits] @ (weight * room / np.maximum(whole, 1))).argmax()])
-            now.append(waiting[i])
-            room -= size[i]
-            waiting[i] = waiting[-1]
-            size[i], share[i] = size[-1], share[-1]
+        i = -1
+        if segments:
+            # A piece takes its share of each limit; the dot product is with the share that is left of it.
+            score = tokens * (by_tokens * room / limits.capacity**2) + loss * (by_loss * spare / limits.max_loss**2)
+            score += by_segments * segments / limits.max_segments**2
+            score[(tokens > room) | (loss > spare)] = -1
+            i = int(score.argmax())
+            i = i if score[i] >= 0 else -1
+        if i >= 0:
+            piece = waiting[i]
+            waiting[i], tokens[i], loss[i] = waiting[-1], tokens[-1], loss[-1]
             waiting.pop()
-            size, share = size[:-1], share[:-1]
+            tokens, loss = tokens[:-1], loss[:-1]
         else:
-            i = int(share[:, 0].argmax())
-            piece, at = waiting[i], 0
-            if room[1] > 0 and room[0] >= limits.least_cut:
-                at = piece.head(int(room[0]), int(room[2]))
-                at = min(at, len(piece.ids) - limits.least_cut)
+            i, at, piece = int(tokens.argmax()), 0, None
+            if segments and room >= limits.least_cut:
+                at = min(waiting[i].head(room, spare), len(waiting[i].ids) - limits.least_cut)
             if at >= limits.least_cut:
-                start, waiting[i] = piece.cut(at)
-                now.append(start)
-                room -= [len(start.ids), 1, start.n_loss]
-                size[i] -= [len(start.ids), 0, start.n_loss]
-                share[i] = size[i] / np.maximum(whole, 1)
-            else:
-                closed.append(now)
-                room, now = whole.copy(), []
-        if room[0] == 0:
+                piece, waiting[i] = waiting[i].cut(at)
+                tokens[i] -= len(piece.ids)
+                loss[i] -= piece.n_loss
+        if piece is not None:
+            now.append(piece)
+            room, segments, spare = room - len(piece.ids), segments - 1, spare - piece.n_loss
+        if piece is None or not room:
             closed.append(now)
-            room, now = whole.copy(), []
+            now, room, segments, spare = [], limits.capacity, limits.max_segments, limits.max_loss
     return closed, now
 
 
@@ -225,13 +269,13 @@ def powers(pieces: list[Piece]) -> list[list[Piece]]:
 
 
 _SCHEMA = pa.schema([
-    ("example_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.list_(pa.int32())),
-    ("loss", pa.list_(pa.bool_())), ("n_loss", pa.int64()), ("example_tokens", pa.int64()), ("sequence_id", pa.int64()),
-    ("offset", pa.int64()), ("_end", pa.int64()),
+    ("example_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("n_loss", pa.int64()),
+    ("example_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids_crc32", pa.int64()),
+    ("_end", pa.int64()), ("ids", pa.list_(pa.int32())), ("loss", pa.list_(pa.bool_())),
 ])
 _SQL = (
-    "example_id long, start long, length long, ids array<int>, loss array<boolean>, n_loss long, "
-    "example_tokens long, sequence_id long, offset long, _end long"
+    "example_id long, start long, length long, n_loss long, example_tokens long, sequence_id long, offset long, "
+    "ids_crc32 long, _end long, ids array<int>, loss array<boolean>"
 )
 
 
@@ -240,15 +284,16 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCHEMA, strict=True)], schema=_SCHEMA)
 
 
-def _rows(sequences: list[list[Piece]], first: int, end: int | None = None) -> Iterator[pa.RecordBatch]:
+def _rows(sequences: list[list[Piece]], first: int, digest: bool, end: int | None = None) -> Iterator[pa.RecordBatch]:
     """Sequences numbered from ``first``, or with ``end`` the pieces of an open one."""
     rows, held = [], 0
     for number, pieces in enumerate(sequences):
         at = 0
         for p in pieces:
+            shown = (None, None) if digest and end is None else (p.ids, p.loss)
             rows.append((
-                p.example, p.before, len(p.ids), p.ids, p.loss, p.n_loss, p.total,
-                first + number if end is None else None, at, end,
+                p.example, p.before, len(p.ids), p.n_loss, p.total, first + number if end is None else None, at,
+                zlib.crc32(p.ids.astype("<u4").tobytes()), end, *shown,
             ))
             at += len(p.ids)
         held += at
@@ -266,37 +311,42 @@ def _lists(column: pa.Array) -> Iterator[np.ndarray | None]:
         yield flat[edges[i] : edges[i + 1]].copy() if there else None
 
 
-def _pack_partition(limits: Limits):
+def _given(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, np.ndarray | None, np.ndarray | None]]:
+    """Rows that are examples already (example_id, ids, loss)."""
+    for batch in batches:
+        yield from zip(
+            batch.column("example_id").to_pylist(), _lists(batch.column("ids")), _lists(batch.column("loss")), strict=True
+        )
+
+
+def _pack_partition(read: Callable, limits: Limits, digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         done, block, held = 0, [], 0
-        for batch in batches:
-            for example, ids, loss in zip(
-                batch.column("example_id").to_pylist(), _lists(batch.column("ids")), _lists(batch.column("loss")), strict=True
-            ):
-                if ids is None or not len(ids):
-                    continue
-                if loss is not None:
-                    mask = np.zeros(len(ids), bool)
-                    mask[: len(loss)] = loss[: len(ids)].astype(bool)
-                    loss = mask
-                block.append(Piece(example, len(ids), 0, ids, loss))
-                held += len(ids)
-                if len(block) >= limits.block_examples or held >= limits.block_tokens:
-                    closed, block = pack_block(block, limits)
-                    yield from _rows(closed, (task << 32) + done)
-                    done, held = done + len(closed), sum(len(p.ids) for p in block)
+        for example, ids, loss in read(batches):
+            if ids is None or not len(ids):
+                continue
+            if loss is not None:
+                mask = np.zeros(len(ids), bool)
+                mask[: len(loss)] = loss[: len(ids)].astype(bool)
+                loss = mask
+            block.append(Piece(example, len(ids), 0, ids, loss))
+            held += len(ids)
+            if len(block) >= limits.block_examples or held >= limits.block_tokens:
+                closed, block = pack_block(block, limits)
+                yield from _rows(closed, (task << 32) + done, digest)
+                done, held = done + len(closed), sum(len(p.ids) for p in block)
         closed, block = pack_block(block, limits)
-        yield from _rows(closed, (task << 32) + done)
-        yield from _rows([block], 0, end=task)
+        yield from _rows(closed, (task << 32) + done, digest)
+        yield from _rows([block], 0, digest, end=task)
 
     return run
 
 
-def _pack_ends(limits: Limits):
+def _pack_ends(limits: Limits, digest: bool):
     def finish(group: int, pieces: list[Piece]) -> Iterator[pa.RecordBatch]:
         closed, rest = pack_block(pieces, limits)
-        yield from _rows(closed + powers(rest), (1 << 62) + (group << 32))
+        yield from _rows(closed + powers(rest), (1 << 62) + (group << 32), digest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, pieces = None, []
@@ -316,37 +366,36 @@ def _pack_ends(limits: Limits):
     return run
 
 
-def pack(examples: DataFrame, limits: Limits = Limits()) -> DataFrame:
+def _packed(rows: DataFrame, read: Callable, limits: Limits, digest: bool) -> DataFrame:
+    packed = stored(rows.mapInArrow(frugal(_pack_partition(read, limits, digest)), _SQL), "packed")
+    ends = packed.filter("sequence_id is null")
+    groups = max(1, -(-ends.select("_end").distinct().count() // ENDS))
+    dealt = ends.withColumn("_group", F.pmod(F.xxhash64("_end"), F.lit(groups)))
+    dealt = dealt.repartition(min(groups, shuffle_tasks(rows.sparkSession)), "_group").sortWithinPartitions("_group", "_end", "offset")
+    last = dealt.mapInArrow(frugal(_pack_ends(limits, digest)), _SQL)
+    out = packed.filter("sequence_id is not null").unionByName(last).drop("_end")
+    return out.drop("ids", "loss") if digest else out
+
+
+def pack(examples: DataFrame, limits: Limits = Limits(), digest: bool = False) -> DataFrame:
     """Pieces of the rows of ``examples`` (example_id, ids, loss) and their places in sequences.
 
-    Columns: example_id, start and length within the example, ids and loss mask
-    of the piece (null: all of it), n_loss, example_tokens, sequence_id and
-    offset within the sequence.
+    Columns: example_id, start and length within the example, n_loss,
+    example_tokens, sequence_id and offset within the sequence, ids_crc32, and
+    without ``digest`` ids and loss mask (null: all of it) of the piece.
     """
     rows = examples.select(F.col("example_id").cast("long"), F.col("ids").cast("array<int>"), F.col("loss").cast("array<boolean>"))
-    packed = stored(rows.mapInArrow(frugal(_pack_partition(limits)), _SQL), "packed")
-    ends = packed.filter("sequence_id is null")
-    groups = max(1, -(-ends.select("_end").distinct().count() // ENDS))
-    dealt = ends.withColumn("_group", F.pmod(F.xxhash64("_end"), F.lit(groups)))
-    dealt = dealt.repartition(min(groups, shuffle_tasks(examples.sparkSession)), "_group").sortWithinPartitions("_group", "_end", "offset")
-    last = dealt.mapInArrow(frugal(_pack_ends(limits)), _SQL)
-    return packed.filter("sequence_id is not null").unionByName(last).drop("_end")
+    return _packed(rows, _given, limits, digest)
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        prints = [zlib.crc32(ids.astype("<u4").tobytes()) for ids in _lists(batch.column("ids"))]
-        names = [n for n in batch.schema.names if n != "ids"]
-        yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [pa.array(prints, pa.int64())], [*names, "ids_crc32"])
+def pack_documents(
+    docs: DataFrame, limits: Limits = Limits(), path: str | None = None, end: int | None = END_ID, digest: bool = False
+) -> DataFrame:
+    """The same for documents (doc_id, text), encoded and packed in one pass; ``end`` is the id behind each of them."""
+    model = Path(path or vocabulary()).read_text(encoding="utf-8")
+    return _packed(docs.select(F.col("doc_id").cast("long"), "text"), _encoded(model, end), limits, digest)
 
 
 def op12_dot_product_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = pack(document_examples(table(spark, sf_dir, "documents")))
-    kept = pieces.select(
-        F.col("example_id").alias("doc_id"), "start", "length", F.col("example_tokens").alias("doc_tokens"),
-        "sequence_id", "offset", "n_loss", "ids",
-    )
-    return kept.mapInArrow(
-        _digests,
-        "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, n_loss long, ids_crc32 long",
-    )
+    pieces = pack_documents(table(spark, sf_dir, "documents"), digest=True)
+    return pieces.withColumnsRenamed({"example_id": "doc_id", "example_tokens": "doc_tokens"})

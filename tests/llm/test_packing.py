@@ -84,6 +84,20 @@ def test_examples_come_back_whole(spark, limits):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+def test_words_are_encoded_as_the_library_does(spark):
+    texts = [
+        None, "", "Don't WE'LL it's a's's 'tis x'd", "a<|endoftext|>b <|startoftext|>, <|ENDOFTEXT|>", "naïve, é. İstanbul ΑΣ. 日本語! 🙂?",
+        "1234 5.6e-7 ### a_b \x1c\x1d q\u0085r x\u00a0y", "ab" * 30_000, "été, Été; e\u0301te\u0301.", "word " * 3000, "_ __ -- ...",
+    ]
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, ids string")
+    rows = packing.pack_documents(docs.repartition(2), Limits(capacity=512, max_loss=512)).collect()
+    for i, text in enumerate(texts):
+        own = sorted((r for r in rows if r.example_id == i), key=lambda r: r.start)
+        assert [x for r in own for x in r.ids] == [*library.encode(text or "", add_special_tokens=False).ids, 2]
+    checked(rows, Limits(capacity=512, max_loss=512))
+
+
 def test_repeated_rows_null_ids_and_empty_table(spark):
     rows = [(1, [1, 2, 3], None, "", ""), (1, [1, 2, 3], None, "", ""), (None, [4], None, "", "")]
     frame = spark.createDataFrame(rows, SCHEMA)
