@@ -92,6 +92,8 @@ class WordIds:
         self.numbers: defaultdict[bytes, int] = defaultdict(itertools.count().__next__)
         self.held = 0
         self.flat, self.starts, self.counts = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.parts: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+        self.part_flat, self.part_starts, self.part_counts = self.flat, self.starts, self.counts
 
     def _alone(self, parts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.own.encode_batch_fast(parts, add_special_tokens=False)]
@@ -112,23 +114,27 @@ class WordIds:
         return np.concatenate([np.empty(0, np.int32), *ids]), np.cumsum(np.concatenate([np.empty(0, np.int64), *counts]))
 
     def _learn(self, words: list[str]) -> None:
-        """Put the ids of new words behind those known."""
+        """Put the ids of new words behind those known; parts that were seen before are not encoded again."""
         split = [parts_of(w) for w in words]
-        distinct = list(dict.fromkeys(itertools.chain.from_iterable(split)))
-        single = [p for p in distinct if p.isascii() and "<|" not in p or p.isalpha()]
-        others = sorted(set(distinct).difference(single))
-        flat, ends = self._together(single)
-        rest = self._alone(others)
-        flat = np.concatenate([flat, np.fromiter(itertools.chain.from_iterable(rest), np.int32)])
-        ends = np.concatenate([ends, (ends[-1] if len(ends) else 0) + np.cumsum([len(x) for x in rest], dtype=np.int64)])
-        counts = np.diff(ends, prepend=0)
-        at = {p: i for i, p in enumerate(itertools.chain(single, others))}
+        known = len(self.parts)
         n = np.fromiter(map(len, split), np.int64, len(split))
-        which = np.fromiter(map(at.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(n.sum()))
-        of_words = np.concatenate([[0], np.cumsum(counts[which])])[np.concatenate([[0], np.cumsum(n)])]
+        which = np.fromiter(map(self.parts.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(n.sum()))
+        new = list(itertools.islice(self.parts, known, None))
+        single = np.array([p.isascii() and "<|" not in p or p.isalpha() for p in new], bool)
+        flat, ends = self._together([p for p, one in zip(new, single.tolist(), strict=True) if one])
+        rest = self._alone([p for p, one in zip(new, single.tolist(), strict=True) if not one])
+        counts, starts = np.empty(len(new), np.int64), np.empty(len(new), np.int64)
+        counts[single] = np.diff(ends, prepend=0)
+        starts[single] = ends - counts[single]
+        counts[~single] = [len(x) for x in rest]
+        starts[~single] = len(flat) + np.cumsum(counts[~single]) - counts[~single]
+        self.part_starts = np.concatenate([self.part_starts, len(self.part_flat) + starts])
+        self.part_counts = np.concatenate([self.part_counts, counts])
+        self.part_flat = np.concatenate([self.part_flat, flat, np.fromiter(itertools.chain.from_iterable(rest), np.int32)])
+        of_words = np.concatenate([[0], np.cumsum(self.part_counts[which])])[np.concatenate([[0], np.cumsum(n)])]
         self.starts = np.concatenate([self.starts, len(self.flat) + of_words[:-1]])
         self.counts = np.concatenate([self.counts, np.diff(of_words)])
-        self.flat = np.concatenate([self.flat, _gathered(flat, (ends - counts)[which], counts[which])])
+        self.flat = np.concatenate([self.flat, _gathered(self.part_flat, self.part_starts[which], self.part_counts[which])])
 
     def of(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         if len(self.numbers) > WORDS or self.held > WORD_BYTES:
