@@ -10,7 +10,8 @@ cut them into groups; the tokens of A and B that end at the same offset are a li
 
 No token of either vocabulary crosses from other text into a space or line
 break (the vocabularies are checked for that; otherwise a text is one chunk), so a text is cut into
-chunks there, and each distinct chunk of a block of documents is encoded and aligned once.
+chunks there, and each distinct chunk of a block of documents is encoded and aligned once,
+many of them as one text.
 
 Corpus-wide counts: a block gives its distinct id pairs with their links, which
 are summed by pair in map tasks and a shuffle; a block gets back one row for each of its
@@ -27,8 +28,10 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import itertools
 import json
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -42,8 +45,11 @@ from sarraf.llm.tokens import _gathered, _packed, _packed_positions, _unpacked,
 
 #: Text bytes of a block.
 BLOCK_BYTES = 16 << 20
-#: Chunks encoded in one call.
-BATCH = 10_000
+#: Distinct chunks read as one text, and such texts encoded in one call.
+TOGETHER = 500
+BATCH = 20
+#: What such a text starts with: a chunk of its own, for the space that B adds.
+FIRST = " a"
 
 #: White space that starts with a space or line break, up to the next such place.
 _CHUNK = re.compile(r"[ \n]\s*(?:\S+(?:[^\S \n]\s*(?:\S+|\Z))*)?")
@@ -153,17 +159,123 @@ def as_text(groups: list[tuple[list[int], list[int]]]) -> str:
     return ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
 
 
+class Strings:
+    """Ids as text with what follows them, by id."""
+
+    def __init__(self, size: int, behind: str):
+        self.inner = np.array([f"{i}," for i in range(size)], object)
+        self.last = np.array([f"{i}{behind}" for i in range(size)], object)
+
+    def __call__(self, ids: np.ndarray, last: np.ndarray) -> np.ndarray:
+        return np.where(last, self.last[ids], self.inner[ids])
+
+
+class Aligner:
+    """Distinct chunks aligned many at a time, as one text."""
+
+    def __init__(self, a: ByteLevel, b: Pieces):
+        self.a, self.b = a, b
+        self.splits = a.splits and b.splits
+        self.a_text, self.b_text = Strings(max(a.bytes) + 1, "|"), Strings(len(b.bytes), ";")
+        self.fallback = np.zeros(len(b.bytes), bool)
+        self.fallback[list(b.fallback)] = True
+
+    def together(self, chunks: list[str], e, proto):
+        """(sizes, texts, codes) of chunks read as one text behind ``FIRST``; None if they have to be read one by one.
+
+        ``sizes`` has the tokens of A and B, groups and links of each chunk,
+        ``codes`` the id pairs of all links in order.
+        """
+        whole = FIRST + "".join(chunks)
+        raw = whole.encode("utf-8", "surrogatepass")
+        ids, pieces = e.ids, proto.pieces
+        b_ids = [p.id for p in pieces]
+        a_bytes = [self.a.bytes[i] for i in ids]
+        b_bytes = [self.b.bytes[i] for i in b_ids]
+        if b"".join(a_bytes) != raw or b"".join(b_bytes) != raw:
+            return None
+        places = np.arange(len(raw) + 1)
+        if len(raw) != len(whole):
+            places = np.append(np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80), len(raw))
+        ids, b_ids = np.array(ids), np.array(b_ids)
+        # Coarse cuts from the spans; decoded bytes where a token ends inside a character.
+        spans = np.array(e.offsets)
+        a_ends = places[spans[:, 1]]
+        inside = np.flatnonzero(spans[1:, 0] < spans[:-1, 1])
+        a_ends[inside] = np.cumsum(list(map(len, a_bytes)))[inside]
+        b_ends = np.fromiter((p.end for p in pieces), np.int64, len(b_ids)) + 1
+        bytewise = np.flatnonzero(self.fallback[b_ids])
+        b_ends[bytewise] = np.cumsum(list(map(len, b_bytes)))[bytewise]
+        bounds = places[np.cumsum([len(FIRST), *map(len, chunks)])]
+        common = np.intersect1d(a_ends, b_ends)
+        if (np.diff(a_ends) <= 0).any() or (np.diff(b_ends) <= 0).any() or not np.isin(bounds, common).all():
+            return None
+        a_group, b_group = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
+        a_last, b_last = a_ends == common[a_group], b_ends == common[b_group]
+        order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+        words = np.concatenate([self.a_text(ids, a_last), self.b_text(b_ids, b_last)])[order].tolist()
+        n = len(bounds)
+        n_a, n_b, n_groups = (np.bincount(np.searchsorted(bounds, x), minlength=n) for x in (a_ends, b_ends, common))
+        edges = np.cumsum(n_a + n_b).tolist()
+        texts = ["".join(words[x:y]) for x, y in zip(edges, edges[1:], strict=False)]
+        codes = (ids[a_last].astype(np.int64) << 32 | b_ids[b_last])[n_groups[0] :]
+        return np.stack([n_a, n_b, n_groups, n_groups])[:, 1:], texts, codes
+
+    def alone(self, chunks: list[str]):
+        """The same one by one, with None for the sizes of a chunk whose bytes are not those of its tokens."""
+        for chunk, (a, a_bytes, a_ends), (b, b_bytes, b_ends) in zip(
+            chunks, self.a.read(chunks), self.b.read(chunks), strict=True
+        ):
+            raw = chunk.encode("utf-8", "surrogatepass")
+            if b"".join(a_bytes) != raw or b"".join(b_bytes) != raw:
+                yield None, "", []
+                continue
+            groups, links = aligned(a, a_ends, b, b_ends)
+            yield (len(a), len(b), len(groups), len(links)), as_text(groups) + ";", [x << 32 | y for x, y in links]
+
+    def read(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
+        """(good, sizes, texts, codes) of distinct chunks."""
+        good, sizes, texts, codes = np.ones(len(chunks), bool), np.zeros((4, len(chunks)), np.int64), [], [np.empty(0, np.int64)]
+        lots = [chunks[i : i + TOGETHER] for i in range(0, len(chunks), TOGETHER)] if self.splits else [[c] for c in chunks]
+        for start in range(0, len(lots), BATCH):
+            some = lots[start : start + BATCH]
+            if self.splits:
+                joined = [FIRST + "".join(lot) for lot in some]
+                read = zip(
+                    self.a.own.encode_batch(joined, add_special_tokens=False),
+                    self.b.own.encode([j[1:] for j in joined], return_type="proto", num_threads=1), strict=True,
+                )
+            else:
+                read = itertools.repeat((None, None), len(some))
+            for lot, (e, proto) in zip(some, read, strict=True):
+                at = len(texts)
+                found = self.together(lot, e, proto) if self.splits else None
+                if found is not None:
+                    sizes[:, at : at + len(lot)] = found[0]
+                    texts += found[1]
+                    codes.append(found[2])
+                    continue
+                for own, text, links in self.alone(lot):
+                    if own is None:
+                        good[len(texts)] = False
+                    else:
+                        sizes[:, len(texts)] = own
+                    texts.append(text)
+                    codes.append(np.array(links, np.int64))
+        return good, sizes, texts, np.concatenate(codes)
+
+
 @functools.lru_cache(maxsize=1)
-def _pair_of(model_a: str, model_b: str) -> tuple[ByteLevel, Pieces]:
-    return ByteLevel(model_a), Pieces(base64.b64decode(model_b))
+def _aligner(model_a: str, model_b: str) -> Aligner:
+    return Aligner(ByteLevel(model_a), Pieces(base64.b64decode(model_b)))
 
 
 class Block:
     """Documents whose distinct chunks are encoded together."""
 
-    def __init__(self, a: ByteLevel, b: Pieces):
-        self.a, self.b = a, b
-        self.chunks: dict[str, int] = {}
+    def __init__(self, aligner: Aligner):
+        self.aligner = aligner
+        self.chunks: defaultdict[str, int] = defaultdict(itertools.count().__next__)
         self.doc_ids: list = []
         self.at: list[np.ndarray] = []
         self.held = 0
@@ -172,33 +284,14 @@ class Block:
         chunks = []
         if text:
             whole = " " + text
-            chunks = _CHUNK.findall(whole) if self.a.splits and self.b.splits else [whole]
+            chunks = _CHUNK.findall(whole) if self.aligner.splits else [whole]
             self.held += len(whole)
-        numbers = self.chunks
         self.doc_ids.append(doc_id)
-        self.at.append(np.fromiter((numbers.setdefault(c, len(numbers)) for c in chunks), np.int64, len(chunks)))
+        self.at.append(np.array(list(map(self.chunks.__getitem__, chunks)), np.int64))
 
     def _align(self) -> None:
-        chunks = list(self.chunks)
-        n = len(chunks)
-        self.good, self.sizes = np.zeros(n, bool), np.zeros((4, n), np.int64)
-        self.texts: list[str] = []
-        pairs: list[int] = []
-        for start in range(0, n, BATCH):
-            some = chunks[start : start + BATCH]
-            for i, (chunk, (a, a_bytes, a_ends), (b, b_bytes, b_ends)) in enumerate(
-                zip(some, self.a.read(some), self.b.read(some), strict=True), start
-            ):
-                raw = chunk.encode("utf-8", "surrogatepass")
-                if b"".join(a_bytes) != raw or b"".join(b_bytes) != raw:
-                    self.texts.append("")
-                    continue
-                groups, links = aligned(a, a_ends, b, b_ends)
-                self.good[i] = True
-                self.sizes[:, i] = len(a), len(b), len(groups), len(links)
-                self.texts.append(as_text(groups))
-                pairs += [x << 32 | y for x, y in links]
-        self.codes, self.pair = np.unique(np.array(pairs, np.int64), return_inverse=True)
+        self.good, self.sizes, self.texts, codes = self.aligner.read(list(self.chunks))
+        self.codes, self.pair = np.unique(codes, return_inverse=True)
 
     def row(self, block: int, digest: bool) -> pa.RecordBatch:
         """The block as one row, and its distinct pairs with their links."""
@@ -210,7 +303,7 @@ class Block:
                 own = own[:0]
             used += np.bincount(own, minlength=len(used))
             stats.append(self.sizes[:, own].sum(axis=1).tolist())
-            text = ";".join([self.texts[i] for i in own.tolist()])
+            text = "".join([self.texts[i] for i in own.tolist()])[:-1]
             shown.append(hashlib.sha256(text.encode()).hexdigest() if digest and text else text)
             kept.append(own)
         self.texts.clear()
@@ -246,14 +339,13 @@ _ROW_SQL = (
 def _blocks(model_a: str, model_b: str, block_bytes: int, digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
-        a, b = _pair_of(model_a, model_b)
-        block = Block(a, b)
+        block = Block(_aligner(model_a, model_b))
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 block.add(doc_id, text.as_py())
                 if block.held >= block_bytes:
                     yield block.row(number, digest)
-                    number, block = number + 1, Block(a, b)
+                    number, block = number + 1, Block(block.aligner)
         if block.doc_ids:
             yield block.row(number, digest)
 

@@ -95,6 +95,24 @@ def test_tokens_that_end_together():
     assert alignment.aligned([], [], [], []) == ([], [])
 
 
+def test_chunks_read_together_and_alone_agree():
+    from sarraf.llm.tokens import vocabulary
+
+    a = alignment.ByteLevel(open(vocabulary("byte_bpe_50k.json"), encoding="utf-8").read())
+    b = alignment.Pieces(open(vocabulary("piece_bpe_32k.model"), "rb").read())
+    assert a.splits and b.splits
+    aligner = alignment.Aligner(a, b)
+    chunks = list(dict.fromkeys(c for t in TEXTS if t for c in alignment._CHUNK.findall(" " + t)))
+    plain_ones = [c for c in chunks if "▁" not in c]
+    good, sizes, texts, codes = aligner.read(plain_ones)
+    alone = list(aligner.alone(plain_ones))
+    assert good.all() and [tuple(x) for x in sizes.T.tolist()] == [x[0] for x in alone]
+    assert texts == [x[1] for x in alone] and codes.tolist() == [c for x in alone for c in x[2]]
+    assert aligner.read(chunks)[0].tolist() == ["▁" not in c for c in chunks]
+    aligner.splits = False
+    assert aligner.read(plain_ones)[2] == texts
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert alignment.align(docs).count() == 0
