@@ -265,7 +265,7 @@ _STATE = """SELECT client_id, card_id, channel, amount_bucket FROM silver_kaggle
 QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY transaction_datetime DESC, transaction_id) = 1"""
 _FIRST, _SECOND = "2024-05-01 00:00:00", "2024-06-01 00:00:00"
 _answer("scd2_snapshot", f"""
-SELECT client_id, card_id, channel, amount_bucket, md5(client_id || '-' || updated_at) AS scd_id,
+SELECT client_id, card_id, channel, amount_bucket, md5(client_id || '-' || updated_at || '.000000') AS scd_id,
        updated_at || '.000000' AS updated_at, updated_at || '.000000' AS valid_from, valid_to || '.000000' AS valid_to
 FROM (SELECT o.*, '{_FIRST}' AS updated_at,
              CASE WHEN n.client_id IS NULL OR (o.card_id, o.channel, o.amount_bucket)

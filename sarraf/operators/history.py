@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sarraf.functions.keys import surrogate_key
+from sarraf.sources import tables
 
 VALIDITY = ["scd_id", "updated_at", "valid_from", "valid_to"]
 
@@ -23,7 +24,7 @@ def row_hash(cols: Sequence[str]) -> Column:
 def _opened(rows: DataFrame, key: str, at: Column) -> DataFrame:
     return rows.withColumns(
         {"updated_at": at, "valid_from": at, "valid_to": F.lit(None).cast("timestamp")}
-    ).withColumn("scd_id", surrogate_key(key, F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss")))
+    ).withColumn("scd_id", surrogate_key(key, F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")))
 
 
 def open_history(snapshot: DataFrame, key: str, run_ts: Column) -> DataFrame:
@@ -71,6 +72,59 @@ def apply_snapshot(
     return closed.unionByName(after)
 
 
+#: Partition column of a stored history: ``open-`` or ``closed-`` and the run that wrote the rows.
+STATE = "_state"
+_NOTE = "last_run"
+
+
+def keep(
+    spark: SparkSession, path: str, run: str, step: Callable[[DataFrame | None], DataFrame]
+) -> tuple[int, int]:
+    """One run of a stored history; returns (rows closed by it, rows open after it).
+
+    ``step`` gives the history after the run from its open rows (None at first).
+    The rows a run closes get a partition named after it (``run``, names in order of
+    time), which no later run reads or writes; the open rows are written anew.
+    Noting the run makes both valid at once: a run that died before leaves
+    partitions that readers do not see and the next run removes.  Repeating the
+    last run changes nothing; an earlier one is an error.
+    """
+    last = tables.note(spark, path, _NOTE) if tables.exists(spark, path) else None
+    if last is not None and run < last:
+        raise ValueError(f"run {run} is earlier than {last}")
+    if run == last:
+        return 0, spark.read.parquet(f"{path}/{STATE}=open-{last}").count()
+    if tables.exists(spark, path):
+        for name in tables.children(spark, path):
+            if name.startswith(f"{STATE}=") and not _valid(name.partition("=")[2], last):
+                tables.remove(spark, f"{path}/{name}")
+    before = spark.read.parquet(f"{path}/{STATE}=open-{last}") if last is not None else None
+    scratch = tables.scratch_dir(spark, "history")
+    after, _ = tables.stage(step(before), scratch)
+    ended = F.col("valid_to").isNotNull()
+    n_closed = tables.write(after.filter(ended), f"{path}/{STATE}=closed-{run}")
+    if not n_closed:
+        tables.remove(spark, f"{path}/{STATE}=closed-{run}")
+    n_open = tables.write(after.filter(~ended), f"{path}/{STATE}=open-{run}")
+    tables.put_note(spark, path, _NOTE, run)
+    if last is not None:
+        tables.remove(spark, f"{path}/{STATE}=open-{last}")
+    tables.remove(spark, scratch)
+    return n_closed, n_open
+
+
+def _valid(state: str, last: str | None) -> bool:
+    kind, _, run = state.partition("-")
+    return last is not None and (run == last if kind == "open" else run <= last)
+
+
+def read_kept(spark: SparkSession, path: str) -> DataFrame:
+    """All versions of a stored history, as of its last finished run."""
+    last, (kind, run) = tables.note(spark, path, _NOTE), (F.substring_index(STATE, "-", 1), F.substring_index(STATE, "-", -1))
+    valid = F.when(kind == "open", run == last).otherwise(run <= last)
+    return tables.read(spark, path).filter(valid).drop(STATE)
+
+
 def validity_ranges(versions: DataFrame, key: str, valid_from: str, bucket: Column) -> DataFrame:
     """Add ``valid_to``, the next ``valid_from`` of the same key, to a full list of versions.
 

@@ -52,8 +52,10 @@ def rows_to_load(
     return staged.filter((F.col(column) >= F.lit(oldest)) | F.col(column).isNull())
 
 
-def without_late(staged: DataFrame, column: str, watermark: dt.date | None, seen: Observation) -> DataFrame:
-    """Rows of a delivery later than ``watermark``; ``seen`` counts the rest while they stream by.
+def without_late(
+    staged: DataFrame, column: str, watermark: dt.date | None, seen: Observation, drop: bool = True
+) -> DataFrame:
+    """Rows of a delivery later than ``watermark``; ``seen`` counts all while they pass.
 
     ``seen`` gets ``delivered``, ``late`` (not later than the watermark) and
     ``undated`` (no date; they load).  An empty target has no watermark and
@@ -64,7 +66,7 @@ def without_late(staged: DataFrame, column: str, watermark: dt.date | None, seen
         seen, F.count(F.lit(1)).alias("delivered"), F.count_if(late).alias("late"),
         F.count_if(F.col(column).isNull()).alias("undated"),
     )
-    return counted.filter(~late)
+    return counted.filter(~late) if drop else counted
 
 
 #: Buckets a keyed table without a partition column starts with; it keeps its number until it is re-bucketed.

@@ -2,7 +2,7 @@
 
 All row checks of a table (missing values, value lists, ranges) are counters in
 one aggregation, so a table is scanned once however many checks it has.
-Uniqueness needs one pre-aggregated grouping per key.
+All uniqueness checks of a table are one scan and one pre-aggregated grouping.
 """
 
 from __future__ import annotations
@@ -57,13 +57,27 @@ def check_rows(df: DataFrame, table: str, contract: Contract, kinds: Sequence[st
     return totals.selectExpr(f"inline(array({results}))")
 
 
-def check_unique(df: DataFrame, table: str, column: str) -> DataFrame:
-    """Number of values that occur more than once, in the same form as the row checks."""
-    repeated = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n")).filter("n > 1")
-    return repeated.agg(F.count("*").alias("failures")).select(
-        F.lit(table).alias("table_name"), F.lit("unique").alias("test"),
-        F.lit(column).alias("column_name"), "failures",
+def check_unique(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+    """Values that occur more than once per column, in the same form as the row checks.
+
+    The table is read once: each row gives a (column, value) pair per checked
+    column, pairs are counted in the map tasks before they are shuffled, and
+    then again per column.
+    """
+    names = F.array(*[F.lit(c) for c in columns])
+    pairs = df.select(F.explode(F.arrays_zip(
+        names.alias("column_name"), F.array(*[F.col(c).cast("string") for c in columns]).alias("value")
+    )).alias("p")).select("p.*").filter(F.col("value").isNotNull())
+    repeated = pairs.groupBy("column_name", "value").agg(F.count("*").alias("n")).groupBy("column_name").agg(
+        F.count_if(F.col("n") > 1).alias("failures")
+    )
+    # A column with nothing but NULL has no pairs and no failures.
+    found = repeated.agg(F.map_from_entries(F.collect_list(F.struct("column_name", "failures"))).alias("m"))
+    results = ", ".join(
+        f"struct('{table}' AS table_name, 'unique' AS test, '{c}' AS column_name, "
+        f"coalesce(m['{c}'], 0L) AS failures)" for c in columns
     )
+    return found.selectExpr(f"inline(array({results}))")
 
 
 def check_tables(
@@ -74,8 +88,8 @@ def check_tables(
     for name, contract in contracts.items():
         if any(kinds is None or kind in kinds for kind, _, _ in row_checks(contract)):
             parts.append(check_rows(tables[name], name, contract, kinds))
-        if kinds is None or "unique" in kinds:
-            parts += [check_unique(tables[name], name, column) for column in contract.unique]
+        if contract.unique and (kinds is None or "unique" in kinds):
+            parts.append(check_unique(tables[name], name, contract.unique))
     return union_all(parts)
 
 

@@ -27,11 +27,16 @@ def good_rows(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return df
 
 
+def reason(checks: Sequence[Check]) -> Column:
+    """The first check a row fails; NULL for a good row."""
+    found = F
+    for label, bad in checks:
+        found = found.when(bad, F.lit(label))
+    return found
+
+
 def bad_rows(df: DataFrame, checks: Sequence[Check], entity: str, at: Column) -> DataFrame:
     """Rows that fail a check, with reason, entity and time."""
-    reason = F
-    for label, bad in checks:
-        reason = reason.when(bad, F.lit(label))
     return df.filter(_is_bad(checks)).withColumns(
-        {"_reason": reason, "_entity": F.lit(entity), "_quarantined_at": at}
+        {"_reason": reason(checks), "_entity": F.lit(entity), "_quarantined_at": at}
     )

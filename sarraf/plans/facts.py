@@ -34,6 +34,10 @@ _DIMENSIONS = {
 }
 
 
+#: Natural keys without a dimension row up to which they are broadcast; more are joined by shuffle.
+UNKNOWN_KEYS = 1_000_000
+
+
 def _with_keys(
     stg: DataFrame, lookups: Mapping[str, Column], dims: Mapping[str, DataFrame], links: Collection[str] | None
 ) -> DataFrame:
@@ -45,6 +49,31 @@ def _with_keys(
     return stg
 
 
+def with_computed_key(fact: DataFrame, dim: DataFrame, name: str, natural_key: Column) -> DataFrame:
+    """``fact`` with the key of a dimension that grows, without shuffling the fact.
+
+    The surrogate key is a function of the natural key, so the dimension is not
+    needed to make it, only to know which natural keys it lacks.  The distinct
+    keys of the fact, counted down in the map tasks, are anti-joined with the
+    dimension; what is left, usually nothing, is broadcast and gets a NULL key.
+    The number of those is checked: above ``UNKNOWN_KEYS`` the fact is joined as
+    a whole.  This runs a job over the key column of the fact.
+    """
+    natural, key, _ = _DIMENSIONS[name]
+    known = dim.select(F.col(natural).cast("string").alias("_known"))
+    asked = fact.select(natural_key.cast("string").alias("_asked")).filter(F.col("_asked").isNotNull()).distinct()
+    unknown = asked.join(known, F.col("_asked") == F.col("_known"), "left_anti")
+    missing = [r[0] for r in unknown.limit(UNKNOWN_KEYS + 1).select(F.count("*")).collect()][0]
+    if missing > UNKNOWN_KEYS:
+        return _with_keys(fact, {name: natural_key}, {name: dim}, None).drop(f"_{name}")
+    computed = F.when(natural_key.isNotNull(), surrogate_key(natural_key))
+    if not missing:
+        return fact.withColumn(key, computed)
+    marked = F.broadcast(unknown.withColumnRenamed("_asked", "_unknown"))
+    joined = fact.join(marked, natural_key.cast("string") == F.col("_unknown"), "left")
+    return joined.withColumn(key, F.when(F.col("_unknown").isNull(), computed)).drop("_unknown")
+
+
 def _columns(wanted: list[str | Column], df: DataFrame) -> list:
     return [c for c in wanted if not isinstance(c, str) or c in df.columns]
 

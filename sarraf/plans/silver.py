@@ -16,8 +16,9 @@ from sarraf.functions import fixed_values as fv, rules, text
 from sarraf.operators.conform import harmonise, pick, pick_first
 from sarraf.operators.dedup import DELIVERY, latest_per_key
 from sarraf.operators.ordinal import with_client
-from sarraf.operators.quarantine import Check, bad_rows, good_rows
+from sarraf.operators.quarantine import Check, bad_rows, good_rows, reason
 from sarraf.settings import RunContext
+from sarraf.sources import tables
 
 
 #: Columns a delivery adds; they end with deduplication.
@@ -52,6 +53,35 @@ def quarantine(entity: Entity, raw: DataFrame, ctx: RunContext) -> DataFrame:
     return entity.derive(bad_rows(entity.typed(raw), entity.checks(), entity.name, ctx.now()).drop(*BATCH), ctx)
 
 
+def enriched(
+    entity: Entity, df: DataFrame, customers: DataFrame | None = None, labels: DataFrame | None = None
+) -> DataFrame:
+    """Good or bad rows with what other tables add: the client instead of the PAN, the fraud flag.
+
+    Without customers nobody is the client, without labels nothing is fraud.
+    """
+    if entity.name == "card_transactions":
+        return _replace_pan(df, customers)
+    if entity.name == "kaggle_transactions":
+        return _flag_fraud(df, labels)
+    return df
+
+
+def split(entity: Entity, raw: DataFrame, ctx: RunContext, scratch: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows, one per key; bad rows) before enrichment, from one pass over ``raw``.
+
+    The typed rows are written below ``scratch`` once, good and bad ones in
+    partitions of their own, with the reason of the bad ones.
+    """
+    typed = entity.typed(raw)
+    judged = typed.withColumn("_reason", reason(entity.checks())).withColumn("_bad", F.col("_reason").isNotNull())
+    staged, _ = tables.stage(judged, scratch, "_bad")
+    good = staged.filter(~F.col("_bad")).drop("_bad", "_reason")
+    bad = staged.filter("_bad").drop("_bad").withColumns({"_entity": F.lit(entity.name), "_quarantined_at": ctx.now()})
+    kept = latest_per_key(good, entity.key, entity.newest, entity.ties)
+    return entity.derive(kept.drop(*BATCH), ctx), entity.derive(bad.drop(*BATCH), ctx)
+
+
 def _null(column: str) -> Column:
     return F.col(column).isNull()
 

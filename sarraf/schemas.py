@@ -36,5 +36,16 @@ RAW_SCHEMAS = {
     ),
 }
 
-# Columns that landing adds to every row, under their bronze names.
+RAW_SCHEMAS["raw_fraud_labels"] = "transaction_id string, label string"
+
+# The column whose day bronze is divided by, for tables that grow with time.
+EVENT_TIME = {
+    "raw_card_transactions": "date",
+    "raw_wallet_transactions": "transaction_date",
+    "raw_out_of_cash": "date",
+    "raw_kaggle_transactions": "date",
+}
+
+# Columns that landing adds to every row, and their bronze names.
+LANDED_COLUMNS = "_batch_id string, _batch_num int, _ingested_at timestamp, _source_table string"
 BATCH_COLUMNS = "batch_id string, batch_num int, ingested_at timestamp, source_table string"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -72,6 +73,13 @@ def put_note(spark: SparkSession, path: str, name: str, text: str) -> None:
         stream.close()
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return sorted(f.getPath().getName() for f in found)
+
+
 def move(spark: SparkSession, path: str, to: str) -> None:
     """Rename a folder to a name that is free."""
     source, goal = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
@@ -96,7 +104,8 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
 
 
 def write(
-    df: DataFrame, path: str, partition: str | None = None, only_touched: bool = False, key: str | None = None
+    df: DataFrame, path: str, partition: str | Sequence[str] | None = None, only_touched: bool = False,
+    key: str | None = None,
 ) -> int:
     """Write a Parquet table; returns the row count.
 
@@ -111,8 +120,9 @@ def write(
     """
     seen = Observation()
     out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if partition in df.columns:
-        writer = out.hint("rebalance", partition).write.partitionBy(partition)
+    by = [c for c in ([partition] if isinstance(partition, str) else partition or []) if c in df.columns]
+    if by:
+        writer = out.hint("rebalance", *by).write.partitionBy(*by)
     else:
         writer = out.write
     if key is not None:
@@ -122,7 +132,12 @@ def write(
     writer.mode("overwrite").option("compression", "snappy").option(
         "partitionOverwriteMode", "dynamic" if only_touched else "static"
     ).parquet(path)
-    return _observed_rows(seen)
+    rows = _observed_rows(seen)
+    if by and not rows and not only_touched:
+        # A partitioned table without rows would have no file to tell its columns.
+        empty = "/".join(f"{c}=__HIVE_DEFAULT_PARTITION__" for c in by)
+        df.drop(*by).limit(0).write.mode("overwrite").parquet(f"{path}/{empty}")
+    return rows
 
 
 def _observed_rows(seen: Observation) -> int:
@@ -133,6 +148,14 @@ def _observed_rows(seen: Observation) -> int:
         return 0
 
 
+def observed(seen: Observation, **nothing: int) -> dict[str, int]:
+    """What an observation saw; ``nothing`` where Spark found its plan empty."""
+    try:
+        return dict(seen.get)
+    except Py4JJavaError:
+        return nothing
+
+
 def stage(df: DataFrame, path: str, partition: str | None = None) -> tuple[DataFrame, int]:
     """Write ``df`` and go on from the written copy: later steps do not compute it again."""
     rows = write(df, path, partition)

@@ -67,7 +67,7 @@ def test_full_load_of_facts(house, monkeypatch):
     monkeypatch.setattr(lakehouse, "DIMENSIONS", [])
     monkeypatch.setattr(lakehouse, "MARTS", [])
     monkeypatch.setattr(
-        lakehouse, "FACT_LOADS", {"fact_wallet_transactions": ("stg_wallet_transactions", "wallet_transaction_key")}
+        lakehouse, "FACT_LOADS", {"fact_wallet_transactions": ("silver_wallet", "wallet_transaction_key")}
     )
     before = house.read("marts", "fact_wallet_transactions").count()
     assert house.refresh_marts(full=True) == {"fact_wallet_transactions": before}

@@ -54,11 +54,49 @@ def test_hourly_stream_equals_batch(spark, tmp_path, rows):
         deliver(spark, folder, data[part::4], str(part), schema)
     frame = spark.createDataFrame(data, schema)
     stream = run.open_files(spark, folder, frame.schema, files_per_batch=1)
-    hourly.run_hourly(stream, path, checkpoint, lateness="10 days")
-    got = hourly.current_totals(tables.read(spark, path))
-    assert rows(got, *hourly.GRAIN, "transactions", "total_amount_mad") == rows(
-        hourly.hourly_totals(frame), *hourly.GRAIN, "transactions", "total_amount_mad"
-    )
+    hourly.keep_hours(stream, path, f"{path}-late", checkpoint, dt.timedelta(days=10))
+    shown = (*hourly.GRAIN, "transactions", "total_amount_mad")
+    assert rows(hourly.hours(spark, path), *shown) == rows(hourly.hourly_totals(frame), *shown)
+    assert not [n for n in tables.children(spark, f"{path}-late") if n.startswith("batch=")]
+
+
+def test_late_and_timeless_rows_go_aside_and_repeats_add_nothing(spark, tmp_path, rows, monkeypatch):
+    folder, path, checkpoint = (str(tmp_path / n) for n in ("in", "hours", "checkpoint"))
+    schema = "channel string, event_time timestamp, amount_mad double"
+    start = dt.datetime(2024, 1, 10)
+
+    def moment(hours):
+        return start + dt.timedelta(hours=hours)
+
+    def go():
+        stream = run.open_files(spark, folder, spark.createDataFrame([], schema).schema, files_per_batch=1)
+        hourly.keep_hours(stream, path, f"{path}-late", checkpoint, dt.timedelta(hours=5))
+
+    deliver(spark, folder, [("a", moment(0), 1.0), ("a", moment(0.5), 2.0), ("b", None, 4.0)], "0", schema)
+    go()
+    deliver(spark, folder, [("a", moment(0.2), 8.0), ("a", moment(-6), 16.0), ("a", moment(30), 32.0)], "1", schema)
+    write = tables.put_note
+
+    def dies(spark, to, name, text):
+        write(spark, to, name, text)
+        if name == "watermark":
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(tables, "put_note", dies)
+    for _ in range(2):  # the batch is written, but its checkpoint is not
+        try:
+            go()
+        except Exception as error:
+            assert "lost" in str(error)
+    monkeypatch.setattr(tables, "put_note", write)
+    go()
+    deliver(spark, folder, [("a", moment(24.9), 64.0), ("a", moment(26), 128.0)], "2", schema)
+    go()
+    assert rows(hourly.hours(spark, path), *hourly.GRAIN, "transactions", "total_amount_mad") == [
+        ("a", moment(0), 3, 11.0), ("a", moment(26), 1, 128.0), ("a", moment(30), 1, 32.0),
+    ]
+    late = tables.read(spark, f"{path}-late")
+    assert rows(late, "_reason", "amount_mad", "batch") == [("late", 16.0, 1), ("late", 64.0, 2), ("no_time", 4.0, 0)]
 
 
 def test_landing_stream_names_folders_by_batch(spark, tmp_path, ctx):
@@ -84,6 +122,39 @@ def test_first_arrival(spark, tmp_path):
     assert sorted(seen) == ["a", "b"]
 
 
+def test_bronze_takes_new_files_only(spark, tmp_path, ctx):
+    from pyspark.sql.types import StructType
+
+    from sarraf.schemas import LANDED_COLUMNS
+    from sarraf.sources import landing
+    from sarraf.streaming import bronze
+
+    folder, path, checkpoint = (str(tmp_path / n) for n in ("landing", "bronze", "checkpoint"))
+    schema = StructType.fromDDL(f"id string, date string, extra int, {LANDED_COLUMNS}")
+
+    def go():
+        return bronze.ingest_new(spark, folder, path, checkpoint, schema, ctx, "date")
+
+    assert go() == 0  # no folder
+    (tmp_path / "landing").mkdir()
+    assert go() == 0  # an empty one
+    first = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-02"), ("c", "unknown")], "id string, date string")
+    landing.land_batch(first, folder, "t", "b0", 0, ctx)
+    assert go() == 3
+    files = sorted((tmp_path / "bronze").rglob("*.parquet"))
+    assert go() == 0 and sorted((tmp_path / "bronze").rglob("*.parquet")) == files
+    more = spark.createDataFrame([("d", "2024-01-01", 7, 1)], "id string, date string, extra int, unnamed_in_schema int")
+    landing.land_batch(more, folder, "t", "b1", 1, ctx)
+    assert go() == 1
+    kept = tables.read(spark, path)
+    assert set(files) < set((tmp_path / "bronze").rglob("*.parquet"))
+    got = {(r["id"], r["extra"], r["batch_num"], r["_load"], str(r["_day"])) for r in kept.collect()}
+    assert got == {
+        ("a", None, 0, 0, "2024-01-01"), ("b", None, 0, 0, "2024-01-02"), ("c", None, 0, 0, "None"), ("d", 7, 1, 1, "2024-01-01"),
+    }
+    assert "unnamed_in_schema" not in kept.columns and all("b0" in r[0] or "b1" in r[0] for r in kept.select("_source_file").collect())
+
+
 def test_raw_schemas_fit_the_silver_entities(spark, ctx):
     from sarraf.plans import silver
     from sarraf.plans.lakehouse import SILVER
