@@ -44,7 +44,8 @@ SELECT * REPLACE ({_stamp('o_orderdate')}, CASE WHEN o_orderstatus <> 'F' THEN o
        printf('orders_%06d_%s', CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END, o_orderstatus) AS source_folder
 FROM orders
 """)
-_answer("fraud_labels_explode", """
+for _key in ("fraud_labels_explode", "fraud_labels_object"):
+    _answer(_key, """
 SELECT transaction_id, upper(trim(label)) IN ('YES', 'OUI', 'TRUE', '1') AS is_fraud FROM raw_fraud_labels
 """)
 _answer("seed_dims", """
@@ -259,8 +260,24 @@ _answer("upsert_by_key", """
 SELECT mobile_number_masked, transaction_id, strftime(transaction_datetime, '%Y-%m-%d %H:%M:%S.%f') AS transaction_datetime,
        amount_mad
 FROM silver_wallet
+WHERE NOT (mobile_number_masked LIKE '%3' AND transaction_date < DATE '2024-01-20')
+  AND NOT (mobile_number_masked LIKE '%7' AND transaction_date >= DATE '2024-01-20')
 QUALIFY row_number() OVER (PARTITION BY mobile_number_masked ORDER BY transaction_datetime DESC, transaction_id) = 1
 """)
+_answer("late_rows_counted", """
+SELECT * FROM (WITH d AS (SELECT transaction_date AS day, CASE WHEN transaction_date <= DATE '2023-06-10' AND channel <> 'ONLINE' THEN 1
+                  WHEN transaction_date <= DATE '2023-06-20' THEN 2 ELSE 3 END AS load FROM silver_kaggle),
+seen AS (SELECT load, max(day) AS newest FROM d GROUP BY load),
+until AS (SELECT load, max(newest) OVER (ORDER BY load) AS loaded_until,
+                 max(newest) OVER (ORDER BY load ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS watermark FROM seen)
+SELECT CAST(load AS INTEGER) AS load, count(*) AS delivered, count(*) FILTER (WHERE day <= watermark) AS late,
+       count(*) FILTER (WHERE day IS NULL) AS undated, CAST(any_value(loaded_until) AS VARCHAR) AS loaded_until
+FROM d JOIN until USING (load) GROUP BY load)
+""")
+_answer("distinct_customers_sketch", """
+SELECT channel, strftime(transaction_date, '%Y-%m') AS month, count(DISTINCT client_id) AS customers, TRUE AS within_bound
+FROM silver_kaggle GROUP BY ALL
+""")
 _STATE = """SELECT client_id, card_id, channel, amount_bucket FROM silver_kaggle WHERE transaction_date {} DATE '2023-06-15'
 QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY transaction_datetime DESC, transaction_id) = 1"""
 _FIRST, _SECOND = "2024-05-01 00:00:00", "2024-06-01 00:00:00"
@@ -285,12 +302,14 @@ FROM (SELECT client_id, transaction_date, count(*) AS purchases, sum(amount_mad)
 _CHANGES = """
 SELECT mobile_number AS wallet, CAST(transaction_amount AS DOUBLE) AS amount,
        CASE WHEN transaction_type LIKE 'ANNULATION%' THEN 'D' ELSE 'U' END AS op, transaction_date AS ts
-FROM raw_wallet_transactions
+FROM raw_wallet_transactions {rows}
 QUALIFY row_number() OVER (PARTITION BY mobile_number ORDER BY transaction_date DESC) = 1
 """
-for _key in ("cdc_apply", "stream_cdc_apply"):
+_ONE_FEED = """WHERE NOT (mobile_number LIKE '%3' AND transaction_date < TIMESTAMP '2024-01-16')
+  AND NOT (mobile_number LIKE '%7' AND transaction_date >= TIMESTAMP '2024-01-16')"""
+for _key, _rows in (("cdc_apply", _ONE_FEED), ("stream_cdc_apply", "")):
     _answer(_key, f"""
-SELECT wallet, amount, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM ({_CHANGES}) WHERE op <> 'D'
+SELECT wallet, amount, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM ({_CHANGES.format(rows=_rows)}) WHERE op <> 'D'
 """)
 
 # --- quality ---------------------------------------------------------------------
@@ -393,36 +412,42 @@ for _test in ("not_null", "unique", "accepted_values", "accepted_range"):
     _answer(f"dq_{_test}", _checks(_test))
 _answer("dq_ref_integrity", """
 SELECT atm_transaction_key AS record_id, atm_key AS failing_atm_key
-FROM fact_atm_transactions WHERE atm_key IN (SELECT atm_key FROM fact_atm_transactions EXCEPT SELECT atm_key FROM dim_atm)
+FROM fact_atm_transactions f ANTI JOIN (SELECT atm_key FROM dim_atm WHERE region <> 'Oriental') d USING (atm_key)
+WHERE atm_key IS NOT NULL
 """)
 _answer("dq_ref_integrity_cards", """
 SELECT transaction_id AS record_id, card_id AS failing_card_id
-FROM stg_transactions WHERE card_id IN (SELECT card_id FROM stg_transactions EXCEPT SELECT card_id FROM dim_card)
+FROM stg_transactions t ANTI JOIN dim_card d USING (card_id) WHERE card_id IS NOT NULL
 """)
 _answer("dq_no_negative_amounts", """
-SELECT * FROM (
-    SELECT 'fact_atm_transactions' AS source_table, refnum AS record_id, amount_mad AS failing_amount FROM fact_atm_transactions
+SELECT source_table, record_id, failing_amount FROM (
+    SELECT 'fact_atm_transactions' AS source_table, refnum AS record_id,
+           CASE WHEN is_reversal THEN -amount_mad ELSE amount_mad END AS failing_amount FROM fact_atm_transactions
     UNION ALL
-    SELECT 'fact_wallet_transactions', wallet_transaction_key, amount_mad FROM fact_wallet_transactions
-) WHERE sign(failing_amount) = -1
-""")
-_answer("dq_valid_resp_codes", """
-SELECT coded.* FROM (
-    SELECT atm_transaction_key AS record_id, resp_code AS failing_resp_code, 'atm' AS source FROM fact_atm_transactions
-    UNION ALL SELECT out_of_cash_key, resp_code, 'ooc' FROM fact_out_of_cash_events
-) coded ANTI JOIN (SELECT unnest([0, 14, 43, 51, 54, 57, 61, 91, 96]) AS code) valid ON failing_resp_code = code
-WHERE failing_resp_code IS NOT NULL
+    SELECT 'fact_wallet_transactions', wallet_transaction_key,
+           CASE WHEN is_reversal THEN -amount_mad ELSE amount_mad END FROM fact_wallet_transactions)
+WHERE failing_amount < 0
+""")
+# The valid response codes.
+_VALID_CODES = "0, 14, 43, 51, 54, 57, 61, 91, 96"
+_answer("dq_valid_resp_codes", f"""
+SELECT atm_transaction_key AS record_id, resp_code AS failing_resp_code, 'atm' AS source
+FROM fact_atm_transactions WHERE resp_code NOT IN ({_VALID_CODES})
+UNION ALL
+SELECT out_of_cash_key, resp_code, 'ooc' FROM fact_out_of_cash_events WHERE resp_code NOT IN ({_VALID_CODES})
 """)
 _answer("dq_wallet_positive", """
-SELECT wallet_transaction_key AS record_id, amount_mad AS failing_amount
-FROM fact_wallet_transactions WHERE sign(amount_mad) IN (-1, 0)
+SELECT wallet_transaction_key AS record_id, amount_mad AS failing_amount FROM fact_wallet_transactions WHERE amount_mad <= 0
 """)
 
 # --- streaming -------------------------------------------------------------------
 
 _answer("stream_bronze_ingest", f"""
-SELECT * REPLACE ({_stamp('ts')}), 'events' AS source_table, 'stream' AS batch_id, 0 AS batch_num FROM events
-""")
+SELECT * REPLACE ({_stamp('ts')}), 'events' AS source_table, 'd' || number AS batch_id, number AS batch_num,
+       CASE WHEN event_id % 4 = 2 THEN 2 ELSE 1 END AS deliveries, CAST(CAST(ts AS DATE) AS VARCHAR) AS day
+FROM (SELECT *, CAST(CASE WHEN event_id % 28 = 0 THEN 4 WHEN event_id % 4 = 2 THEN 5 ELSE event_id % 4 END AS INTEGER) AS number
+      FROM events)
+""".replace("SELECT * REPLACE", "SELECT * EXCLUDE (number) REPLACE"))
 _answer("stream_dedup", """
 SELECT refnum, CAST(transaction_date AS VARCHAR) AS transaction_date, transaction_hour, terminal_id, amount, resp_code
 FROM typed_card_transactions QUALIFY row_number() OVER (PARTITION BY refnum ORDER BY transaction_date DESC) = 1
@@ -437,3 +462,22 @@ FROM (SELECT channel, amount_mad, date_trunc('hour', transaction_datetime) AS h
       WHERE terminal_id IS NOT NULL AND amount >= 0 AND refnum IS NOT NULL)
 GROUP BY channel, h
 """)
+_WALLETS = """
+SELECT transaction_id, channel, mobile_number_masked AS wallet, transaction_datetime AS ts, amount_mad, is_reversal
+FROM typed_wallet WHERE transaction_id IS NOT NULL AND amount_raw >= 0
+"""
+_answer("stream_dedup_window", f"""
+SELECT DISTINCT transaction_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS event_time, amount_mad, channel FROM ({_WALLETS})
+""")
+_answer("stream_late_rows", f"""
+SELECT * FROM (WITH e AS (
+    SELECT *, CASE WHEN NOT (wallet LIKE '%5' AND is_reversal) THEN ts END AS event_time,
+           greatest(least(CAST(floor((CAST(ts AS DATE) - DATE '2024-01-01') / 10) AS INTEGER), 2), 0)
+             + CAST(wallet LIKE '%3' AS INTEGER) AS batch
+    FROM ({_WALLETS})
+), newest AS (SELECT batch, max(event_time) AS top FROM e GROUP BY batch),
+before AS (SELECT batch, max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM newest)
+SELECT transaction_id, CAST(batch AS INTEGER) AS batch, CASE WHEN event_time IS NULL THEN 'no_time' ELSE 'late' END AS reason, amount_mad
+FROM e JOIN before USING (batch)
+WHERE event_time IS NULL OR event_time < seen - INTERVAL 12 HOUR)
+""")

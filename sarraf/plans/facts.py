@@ -8,7 +8,8 @@ otherwise shuffles, splitting hot keys at runtime.
 
 ``links`` names the dimensions to look up.  A mart that needs two keys asks for
 two, and the joins with the large customer, card and merchant tables do not
-run.
+run.  ``computed_keys`` is for loads into stored facts: keys are computed instead
+of looked up, and the fact is not shuffled (``with_computed_key``).
 """
 
 from __future__ import annotations
@@ -39,11 +40,15 @@ UNKNOWN_KEYS = 1_000_000
 
 
 def _with_keys(
-    stg: DataFrame, lookups: Mapping[str, Column], dims: Mapping[str, DataFrame], links: Collection[str] | None
+    stg: DataFrame, lookups: Mapping[str, Column], dims: Mapping[str, DataFrame], links: Collection[str] | None,
+    computed_keys: bool = False,
 ) -> DataFrame:
     wanted = list(lookups) if links is None else [name for name in lookups if name in links]
     for name in wanted:
         natural, key, fixed_size = _DIMENSIONS[name]
+        if computed_keys and not fixed_size:
+            stg = with_computed_key(stg, dims[name], name, lookups[name])
+            continue
         dim = dims[name].select(F.col(natural).alias(f"_{name}"), key)
         stg = stg.join(F.broadcast(dim) if fixed_size else dim, lookups[name] == F.col(f"_{name}"), "left")
     return stg
@@ -63,7 +68,7 @@ def with_computed_key(fact: DataFrame, dim: DataFrame, name: str, natural_key: C
     known = dim.select(F.col(natural).cast("string").alias("_known"))
     asked = fact.select(natural_key.cast("string").alias("_asked")).filter(F.col("_asked").isNotNull()).distinct()
     unknown = asked.join(known, F.col("_asked") == F.col("_known"), "left_anti")
-    missing = [r[0] for r in unknown.limit(UNKNOWN_KEYS + 1).select(F.count("*")).collect()][0]
+    missing = unknown.limit(UNKNOWN_KEYS + 1).count()
     if missing > UNKNOWN_KEYS:
         return _with_keys(fact, {name: natural_key}, {name: dim}, None).drop(f"_{name}")
     computed = F.when(natural_key.isNotNull(), surrogate_key(natural_key))
@@ -79,7 +84,8 @@ def _columns(wanted: list[str | Column], df: DataFrame) -> list:
 
 
 def fact_atm_transactions(
-    stg: DataFrame, dims: Mapping[str, DataFrame], ctx: RunContext, links: Collection[str] | None = None
+    stg: DataFrame, dims: Mapping[str, DataFrame], ctx: RunContext, links: Collection[str] | None = None,
+    computed_keys: bool = False,
 ) -> DataFrame:
     joined = _with_keys(
         stg,
@@ -87,7 +93,7 @@ def fact_atm_transactions(
             "customer": F.col("client_id"), "atm": F.col("atm_id"), "channel": F.col("channel"),
             "error": F.col("resp_code"), "date": F.col("transaction_date"),
         },
-        dims, links,
+        dims, links, computed_keys,
     )
     return joined.select(
         _columns(
@@ -108,7 +114,8 @@ def fact_atm_transactions(
 
 
 def fact_card_transactions(
-    stg: DataFrame, dims: Mapping[str, DataFrame], ctx: RunContext, links: Collection[str] | None = None
+    stg: DataFrame, dims: Mapping[str, DataFrame], ctx: RunContext, links: Collection[str] | None = None,
+    computed_keys: bool = False,
 ) -> DataFrame:
     joined = _with_keys(
         stg,
@@ -117,7 +124,7 @@ def fact_card_transactions(
             "category": F.col("mcc"), "channel": F.col("channel"), "error": text.error_code(F.col("errors")),
             "date": F.col("transaction_date"),
         },
-        dims, links,
+        dims, links, computed_keys,
     )
     return joined.select(
         _columns(
@@ -139,10 +146,12 @@ def fact_card_transactions(
 
 
 def fact_wallet_transactions(
-    stg: DataFrame, dims: Mapping[str, DataFrame], ctx: RunContext, links: Collection[str] | None = None
+    stg: DataFrame, dims: Mapping[str, DataFrame], ctx: RunContext, links: Collection[str] | None = None,
+    computed_keys: bool = False,
 ) -> DataFrame:
     joined = _with_keys(
-        stg, {"atm": F.col("atm_id"), "channel": F.col("channel"), "date": F.col("transaction_date")}, dims, links
+        stg, {"atm": F.col("atm_id"), "channel": F.col("channel"), "date": F.col("transaction_date")}, dims, links,
+        computed_keys,
     )
     return joined.select(
         _columns(
@@ -162,10 +171,12 @@ def fact_wallet_transactions(
 
 
 def fact_out_of_cash_events(
-    stg: DataFrame, dims: Mapping[str, DataFrame], ctx: RunContext, links: Collection[str] | None = None
+    stg: DataFrame, dims: Mapping[str, DataFrame], ctx: RunContext, links: Collection[str] | None = None,
+    computed_keys: bool = False,
 ) -> DataFrame:
     joined = _with_keys(
-        stg, {"atm": F.col("atm_id"), "error": F.col("resp_code"), "date": F.col("transaction_date")}, dims, links
+        stg, {"atm": F.col("atm_id"), "error": F.col("resp_code"), "date": F.col("transaction_date")}, dims, links,
+        computed_keys,
     )
     return joined.select(
         _columns(

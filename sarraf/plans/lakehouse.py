@@ -81,7 +81,7 @@ class Lakehouse:
         schema = f"{RAW_SCHEMAS[raw]}, {BATCH_COLUMNS}"
         return self.read("bronze", raw) if self.has("bronze", raw) else self.spark.createDataFrame([], schema)
 
-    def _warehouse(self) -> Warehouse:
+    def _warehouse(self, computed_keys: bool = False) -> Warehouse:
         """Plans over what is stored now; a stored table is opened when a plan uses it."""
         names = [raw for _, raw in SILVER.values()] + [LABELS]
 
@@ -219,7 +219,7 @@ class Lakehouse:
         newest = last_load(self.spark, self.path("silver", source))
         if newest <= seen:
             return 0, []
-        wh = self._warehouse()
+        wh = self._warehouse(computed_keys=True)
         rows = self.read("silver", source).filter(F.col(LOAD) > seen).drop(LOAD)
         watermark = high_watermark(self.read("marts", name), DATE) if there and not full else None
         oldest = watermark - dt.timedelta(days=lateness_days) if watermark and strict else watermark

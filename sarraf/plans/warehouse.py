@@ -37,6 +37,7 @@ class Warehouse:
         ctx: RunContext | None = None,
         root: str | None = None,
         existing: Callable[[str], DataFrame | None] | None = None,
+        computed_keys: bool = False,
     ):
         self.spark = spark
         self.ctx = ctx or RunContext()
@@ -44,6 +45,7 @@ class Warehouse:
         self.rows_written: dict[str, int] = {}
         self._raw = raw
         self._existing = existing
+        self.computed_keys = computed_keys
         self._tables: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
@@ -110,7 +112,7 @@ def _stg(function: Callable[..., DataFrame], source: str) -> Model:
 def _fact(function: Callable[..., DataFrame], source: str, *all_links: str):
     def build(wh: Warehouse, links: Collection[str] | None = None) -> DataFrame:
         wanted = all_links if links is None else links
-        return function(wh.table(source), wh.dims(wanted), wh.ctx, wanted)
+        return function(wh.table(source), wh.dims(wanted), wh.ctx, wanted, wh.computed_keys)
 
     return build
 

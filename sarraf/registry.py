@@ -9,18 +9,19 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
 from sarraf.functions import rules, text
-from sarraf.operators import changes, conform, dedup, health, history, merge, quality, quarantine
+from sarraf.operators import changes, conform, dedup, health, history, merge, quality, quarantine, sketches
 from sarraf.plans import dims, gold, serve, silver, staging
 from sarraf.plans.contracts import CONTRACTS
 from sarraf.plans.lakehouse import SILVER
 from sarraf.plans.warehouse import FACTS, MODELS, Warehouse, fraud_labels
+from sarraf.schemas import LANDED_COLUMNS
 from sarraf.settings import RunContext
 from sarraf.sources import bankdata, labels, landing, run_results, tables
-from sarraf.streaming import hourly, land, run, upsert
+from sarraf.streaming import bronze, hourly, run, upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,9 +92,27 @@ def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.withColumn("source_folder", F.element_at(F.split("_source_file", "/"), -2)).drop("ingested_at")
 
 
+def _staged_objects(wh: Warehouse) -> DataFrame:
+    """The fraud labels as JSON objects of some thousand entries each."""
+    pairs = wh.raw("raw_fraud_labels")
+    objects = max(1, pairs.count() // 5000)
+    return pairs.groupBy(F.pmod(F.xxhash64("transaction_id"), F.lit(objects)).alias("_object")).agg(
+        F.to_json(F.map_from_entries(F.collect_list(F.struct("transaction_id", "label")))).alias("value")
+    ).select("value")
+
+
+def _label_lines(wh: Warehouse) -> DataFrame:
+    """Labels from JSON lines on storage, an object a line."""
+    work = tables.scratch_dir(wh.spark, "label-lines")
+    _staged_objects(wh).write.text(work)
+    return labels.read_label_lines(wh.spark, work)
+
+
 def _label_objects(wh: Warehouse) -> DataFrame:
-    pairs = wh.raw("raw_fraud_labels").select(F.to_json(F.create_map("transaction_id", "label")).alias("value"))
-    return labels.explode_labels(pairs, "value")
+    """Labels from JSON objects on storage, an object a file, read by splitting the files at commas."""
+    work = tables.scratch_dir(wh.spark, "label-objects")
+    _staged_objects(wh).write.option("maxRecordsPerFile", 1).text(work)
+    return labels.read_label_object(wh.spark, work)
 
 
 def _seed_use(wh: Warehouse) -> DataFrame:
@@ -134,9 +153,13 @@ def _run_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
              F.lit(0.25), F.col("l_suppkey"), F.lit("checked")),
         node(F.concat(F.lit("seed_"), "l_returnflag"), F.col("l_linestatus"), none, none, none),
     )
-    documents = line.select(F.to_json(F.struct(nodes.alias("results"))).alias("value"))
-    parsed = documents.select(F.from_json("value", run_results.RESULTS).alias("d")).select("d.*")
-    return run_results.flatten_run_results(parsed)
+    runs = max(1, line.count() // 5000)
+    documents = line.groupBy((F.col("l_orderkey") % runs).alias("_run")).agg(
+        F.to_json(F.struct(F.flatten(F.collect_list(nodes)).alias("results"))).alias("value")
+    )
+    work = tables.scratch_dir(spark, "run-results")
+    documents.select("value").write.option("maxRecordsPerFile", 1).text(work)  # a document a file
+    return run_results.read_run_results(spark, work)
 
 
 def _converted(wh: Warehouse) -> DataFrame:
@@ -160,7 +183,8 @@ def _unsafe_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _register_on_inputs("bronze_ingest", _bronze)
-_register("fraud_labels_explode", _label_objects)
+_register("fraud_labels_explode", _label_lines)
+_register("fraud_labels_object", _label_objects)
 _register("seed_dims", _seed_use)
 _register_on_inputs("run_results_flatten", _run_nodes)
 _register_on_inputs("run_results_by_status", lambda spark, sf_dir: run_results.run_health(_run_nodes(spark, sf_dir)))
@@ -283,8 +307,10 @@ def _wallet_state(wh: Warehouse, period) -> DataFrame:
 
 
 def _upserted(wh: Warehouse) -> DataFrame:
-    later = F.col("transaction_date") >= F.lit("2024-01-20").cast("date")
-    return merge.upsert_by_key(_wallet_state(wh, ~later), _wallet_state(wh, later), "mobile_number_masked")
+    """Some wallets are in the target only and stay, some in the source only and are added."""
+    later, wallet = F.col("transaction_date") >= F.lit("2024-01-20").cast("date"), F.col("mobile_number_masked")
+    target = _wallet_state(wh, ~later & ~wallet.endswith("3"))
+    return merge.upsert_by_key(target, _wallet_state(wh, later & ~wallet.endswith("7")), "mobile_number_masked")
 
 
 def _incremental(wh: Warehouse) -> DataFrame:
@@ -305,6 +331,35 @@ def _late_purchases(wh: Warehouse, **options) -> DataFrame:
     return merge.upsert_by_key(loaded, merge.rows_to_load(purchases, "transaction_date", newest, **options), "transaction_id")
 
 
+def _late_counts(wh: Warehouse) -> DataFrame:
+    """Three deliveries of purchases, online ones of the first days late; each load takes later days only and counts the rest."""
+    number = F.when((F.col("transaction_date") <= "2023-06-10") & (F.col("channel") != "ONLINE"), 1).when(
+        F.col("transaction_date") <= "2023-06-20", 2
+    ).otherwise(3)
+    purchases = wh.table("silver_kaggle").select("transaction_id", "transaction_date", number.alias("number"))
+    path, counts, newest = tables.scratch_dir(wh.spark, "late"), [], None
+    for load in (1, 2, 3):
+        seen = Observation()
+        kept = merge.without_late(purchases.filter(F.col("number") == load), "transaction_date", newest, seen)
+        tables.write(kept, path, "number", only_touched=True)
+        newest = merge.high_watermark(tables.read(wh.spark, path), "transaction_date")
+        counts.append({"load": load, "loaded_until": str(newest), **tables.observed(seen, delivered=0, late=0, undated=0)})
+    return wh.spark.createDataFrame(counts, "load int, delivered long, late long, undated long, loaded_until string")
+
+
+def _sketched_customers(wh: Warehouse) -> DataFrame:
+    """Distinct customers per channel and month from daily sketches, and whether the estimate keeps its bound."""
+    rows = wh.table("silver_kaggle").select(
+        "channel", "transaction_date", "client_id", F.date_format("transaction_date", "yyyy-MM").alias("month")
+    )
+    daily = sketches.daily_sketches(rows, ["channel", "transaction_date", "month"], "client_id")
+    exact = rows.groupBy("channel", "month").agg(F.countDistinct("client_id").alias("customers"))
+    off = F.abs(F.col("estimate") - F.col("customers"))
+    return exact.join(sketches.united(daily, "channel", "month"), ["channel", "month"]).select(
+        "channel", "month", "customers", (off <= F.ceil(F.col("customers") * sketches.bound())).alias("within_bound")
+    )
+
+
 def _redelivered(wh: Warehouse) -> DataFrame:
     """Terminals delivered twice with the same dates, the second time with a higher limit for cash deposits."""
     first = silver.ATM_MASTER.typed(wh.raw("raw_atm_master"))
@@ -356,11 +411,12 @@ def _wallet_changes(wallet: DataFrame) -> DataFrame:
 
 
 def _changed_wallets(wh: Warehouse) -> DataFrame:
+    """Two feeds: wallets that end in 3 come with the second alone, those that end in 7 with the first."""
     feed = _wallet_changes(wh.raw("raw_wallet_transactions"))
-    later = F.col("ts") >= F.lit("2024-01-16").cast("timestamp")
-    nobody = feed.filter(~later).limit(0).drop("op")
-    target = changes.apply_changes(nobody, feed.filter(~later), "wallet", ["ts"])
-    return changes.apply_changes(target, feed.filter(later), "wallet", ["ts"])
+    later, wallet = F.col("ts") >= F.lit("2024-01-16").cast("timestamp"), F.col("wallet")
+    nobody = feed.limit(0).drop("op")
+    target = changes.apply_changes(nobody, feed.filter(~later & ~wallet.endswith("3")), "wallet", ["ts"])
+    return changes.apply_changes(target, feed.filter(later & ~wallet.endswith("7")), "wallet", ["ts"])
 
 
 _register("dedup_latest", lambda wh: dedup.latest_per_key(_typed_card_transactions(wh), "refnum", "transaction_date"))
@@ -370,6 +426,8 @@ _register("incremental_fact", _incremental)
 _register("incremental_fact_late", lambda wh: _late_purchases(wh, lateness_days=2))
 _register("incremental_fact_strict", lambda wh: _late_purchases(wh, strict=True))
 _register("incremental_fact_full", lambda wh: _late_purchases(wh, full=True))
+_register("late_rows_counted", _late_counts)
+_register("distinct_customers_sketch", _sketched_customers)
 _register("dedup_redelivered", _redelivered)
 _register("stg_latest_load", _two_loads)
 _register("scd2_snapshot", _two_snapshots)
@@ -412,6 +470,10 @@ _register(
 )
 
 
+def _ledger(fact: DataFrame) -> DataFrame:
+    return fact.withColumn("amount_mad", F.when(F.col("is_reversal"), -F.col("amount_mad")).otherwise(F.col("amount_mad")))
+
+
 def _layers(wh: Warehouse) -> DataFrame:
     raw = [n for n in bankdata.RAW_SQL if n != "raw_fraud_labels"]
     kept = [n for n in MODELS if n.startswith("silver_") or n == "pan_customer_map_silver"]
@@ -432,8 +494,10 @@ for _test in ("not_null", "unique", "accepted_values", "accepted_range"):
     )
 _register(
     "dq_ref_integrity",
+    # The terminals of one region are taken out, so that there are orphans.
     lambda wh: quality.broken_references(
-        wh.table("fact_atm_transactions"), wh.table("dim_atm"), "atm_key", "atm_transaction_key"
+        wh.table("fact_atm_transactions"), wh.table("dim_atm").filter("region <> 'Oriental'"), "atm_key",
+        "atm_transaction_key",
     ),
 )
 _register(
@@ -442,7 +506,10 @@ _register(
 )
 _register(
     "dq_no_negative_amounts",
-    lambda wh: quality.negative_amounts(wh.table("fact_atm_transactions"), wh.table("fact_wallet_transactions")),
+    # As a ledger that books reversals negative; stored amounts have no sign.
+    lambda wh: quality.negative_amounts(
+        _ledger(wh.table("fact_atm_transactions")), _ledger(wh.table("fact_wallet_transactions"))
+    ),
 )
 _register(
     "dq_valid_resp_codes",
@@ -455,13 +522,21 @@ _register(
 # --- streaming ---------------------------------------------------------------------
 
 def _streamed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    work = tables.scratch_dir(spark, "stream-land")
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = run.open_files(spark, sf_dir, schema, glob="events.parquet")
-    land.land_stream(events, f"{work}/landing", "events", f"{work}/checkpoint", RunContext())
-    bronze = f"{work}/bronze"
-    landing.ingest(spark, f"{work}/landing", bronze, RunContext())
-    return tables.read(spark, bronze).drop("ingested_at")
+    """Events in six deliveries, a micro-batch each: four parts, rows that come late, and the third part once more.
+
+    One row per event: the delivery that counts, and how often it was delivered.
+    """
+    work, ctx = tables.scratch_dir(spark, "stream-land"), RunContext()
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    part, late = F.col("event_id") % 4, F.col("event_id") % 28 == 0
+    schema = StructType([*events.schema.fields, *StructType.fromDDL(LANDED_COLUMNS).fields])
+    for number, picked in enumerate((*((part == n) & ~late for n in range(4)), late, part == 2)):
+        landing.land_batch(events.filter(picked), f"{work}/landing", "events", f"d{number}", number, ctx)
+        bronze.ingest_new(spark, f"{work}/landing", f"{work}/bronze", f"{work}/checkpoint", schema, ctx, "ts")
+    rows = tables.read(spark, f"{work}/bronze")
+    times = rows.groupBy("event_id").agg(F.count("*").alias("deliveries"))
+    last = dedup.latest_per_key(rows.drop("source_file", "ingested_at"), "event_id", "ts")
+    return last.join(times, "event_id").withColumn("day", F.col(bronze.DAY).cast("string"))
 
 
 def _landed(wh: Warehouse, frame: DataFrame, work: str) -> DataFrame:
@@ -486,26 +561,64 @@ def _streamed_changes(wh: Warehouse) -> DataFrame:
     return upsert.live_rows(tables.read(wh.spark, f"{work}/table"))
 
 
+def _deliveries(frame: DataFrame, number: Column, work: str, last: int):
+    """Writes the rows of one delivery after the other; yields a stream of what is there."""
+    for n in range(last + 1):
+        frame.filter(number == n).write.mode("append").parquet(f"{work}/landing")
+        yield run.open_files(frame.sparkSession, f"{work}/landing", frame.schema)
+
+
+def _wallet_events(wh: Warehouse) -> DataFrame:
+    wallet = silver.WALLET_TRANSACTIONS
+    rows = wallet.derive(quarantine.good_rows(wallet.typed(wh.raw("raw_wallet_transactions")), wallet.checks()), wh.ctx)
+    return rows.withColumn("event_time", F.col("transaction_datetime"))
+
+
 def _streamed_hours(wh: Warehouse) -> DataFrame:
-    work = tables.scratch_dir(wh.spark, "stream-hourly")
+    """Terminals and wallets in four deliveries that overlap in time."""
+    work, card = tables.scratch_dir(wh.spark, "stream-hourly"), silver.CARD_TRANSACTIONS
+    rows = card.derive(quarantine.good_rows(card.typed(wh.raw("raw_card_transactions")), card.checks()), wh.ctx)
+    moment = F.try_to_timestamp(F.concat_ws(" ", "transaction_date", "transaction_hour"), F.lit("yyyy-MM-dd H"))
+    wanted = ["channel", "event_time", "amount_mad"]
+    events = rows.withColumn("event_time", moment).select(wanted).unionByName(_wallet_events(wh).select(wanted))
+    for stream in _deliveries(events, F.pmod(F.xxhash64(*wanted), F.lit(4)), work, 3):
+        hourly.keep_hours(stream, f"{work}/hours", f"{work}/late", f"{work}/checkpoint", dt.timedelta(days=90))
+    return hourly.hours(wh.spark, f"{work}/hours")
 
-    def good(entity: silver.Entity, raw: str) -> DataFrame:
-        landed, _ = tables.stage(wh.raw(raw), f"{work}/{raw}")
-        stream = run.open_files(wh.spark, f"{work}/{raw}", landed.schema)
-        return entity.derive(quarantine.good_rows(entity.typed(stream), entity.checks()), wh.ctx)
 
-    card = good(silver.CARD_TRANSACTIONS, "raw_card_transactions").withColumn(
-        "event_time", F.try_to_timestamp(F.concat_ws(" ", "transaction_date", "transaction_hour"), F.lit("yyyy-MM-dd H"))
-    )
-    wallet = good(silver.WALLET_TRANSACTIONS, "raw_wallet_transactions").withColumn(
-        "event_time", F.col("transaction_datetime")
+def _streamed_late(wh: Warehouse) -> DataFrame:
+    """Wallet events by ten days, some wallets a delivery late and some without times: what the hours leave aside."""
+    work, user = tables.scratch_dir(wh.spark, "stream-late"), F.col("mobile_number_masked")
+    events = _wallet_events(wh).withColumn(
+        "event_time", F.when(~(user.endswith("5") & F.col("is_reversal")), F.col("event_time"))
     )
-    wanted = ["channel", "event_time", "amount_mad"]
-    hourly.run_hourly(card.select(wanted).unionByName(wallet.select(wanted)), f"{work}/hours", f"{work}/checkpoint")
-    return hourly.current_totals(tables.read(wh.spark, f"{work}/hours"))
+    tens = F.least(F.floor(F.datediff("transaction_date", F.lit("2024-01-01")) / 10), F.lit(2))
+    rows = events.withColumn("part", (F.greatest(tens, F.lit(0)) + user.endswith("3").cast("int")).cast("int"))
+    rows = rows.select("channel", "event_time", "amount_mad", "transaction_id", "part")
+    for stream in _deliveries(rows, F.col("part"), work, 3):
+        hourly.keep_hours(stream, f"{work}/hours", f"{work}/late", f"{work}/checkpoint", dt.timedelta(hours=12))
+    return tables.read(wh.spark, f"{work}/late").select("transaction_id", "batch", F.col("_reason").alias("reason"), "amount_mad")
+
+
+def _streamed_once(wh: Warehouse) -> DataFrame:
+    """Wallet rows of four deliveries, each with the rows of the one before once more; repeats go while a span is open."""
+    work = tables.scratch_dir(wh.spark, "stream-once")
+    rows = _wallet_events(wh).select("transaction_id", "event_time", "amount_mad", "channel")
+    part = F.pmod(F.xxhash64("transaction_id"), F.lit(4))
+    twice = rows.withColumn("part", part).unionByName(rows.withColumn("part", part + 1).filter("part < 4"))
+
+    def keep(batch: DataFrame, number: int) -> None:
+        tables.write(batch.withColumn("batch", F.lit(number)), f"{work}/table", "batch", only_touched=True)
+
+    for stream in _deliveries(twice, F.col("part"), work, 3):
+        once = upsert.first_seen(stream, "transaction_id", "event_time", "90 days")
+        run.run_available(once, keep, f"{work}/checkpoint")
+    return tables.read(wh.spark, f"{work}/table").drop("batch", "part")
 
 
 _register_on_inputs("stream_bronze_ingest", _streamed_bronze)
 _register("stream_dedup", _streamed_dedup)
 _register("stream_cdc_apply", _streamed_changes)
 _register("stream_channel_hourly", _streamed_hours)
+_register("stream_late_rows", _streamed_late)
+_register("stream_dedup_window", _streamed_once)
