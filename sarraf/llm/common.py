@@ -58,6 +58,11 @@ def discard(*frames: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def compact(df: DataFrame, rows: int, per_task: int = 200_000) -> DataFrame:
+    """``df``, which has some ``rows`` rows, in as many tasks as they need, and 8 at least, however many partitions it has."""
+    return df.coalesce(max(8, -(-rows // per_task)))
+
+
 def shuffle_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

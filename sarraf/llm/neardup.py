@@ -39,7 +39,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sarraf.llm.common import discard, frugal, same, shuffle_tasks, stored, table
+from sarraf.llm.common import compact, discard, frugal, same, shuffle_tasks, stored, table
 from sarraf.llm.components import components, smallest_reachable
 
 WORDS = 5
@@ -49,8 +49,8 @@ DEPTH = 4
 SIGNATURE = TREES * DEPTH
 #: Documents that are compared in one task: of a region, or of two blocks of a crowded one.
 REGION = 1024
-#: Trees whose crowded regions are compared whole, one group after the other.
-TURNS = ((0, 1), (1, 4), (4, TREES))
+#: Sets, or pairs of them, that a task reads.
+SETS = 4000
 #: Regions up to this size list all their candidates.
 SMALL = 6
 #: Prefix lengths a crowded region is divided by at first, one after the other.
@@ -312,14 +312,15 @@ def _sets(width: int):
 
 def _sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """(id, shingles) of the classes named in ``ids`` (_id); only their documents are read into sets."""
-    few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    n = ids.count()
+    few = F.broadcast(ids) if n <= BROADCAST_IDS else ids
     texts = docs.select("doc_id", "text").join(few, F.col("doc_id") == F.col("_id"), "left_semi")
     sets = texts.mapInArrow(frugal(_sets(width)), "id long, set_print binary, shingles binary")
     # A document of two texts has two sets: the one of its class counts.
     own = classes.select(F.col("rep").alias("_rep"), F.col("set_print").alias("_print"))
     own = own.join(few, F.col("_rep") == F.col("_id"), "left_semi")
     sets = sets.join(own, (F.col("id") == F.col("_rep")) & (F.col("set_print") == F.col("_print")))
-    return stored(sets.select("id", "shingles").dropDuplicates(["id"]), "near-sets")
+    return stored(compact(sets.select("id", "shingles").dropDuplicates(["id"]), n, SETS), "near-sets")
 
 
 def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -327,12 +328,13 @@ def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int
 
     The pairs meet the sets in two joins that Spark splits where a document has very many pairs.
     """
+    n = pairs.count()
     ids = pairs.select(F.explode(F.array("a", "b")).alias("_id")).groupBy("_id").agg(F.lit(1).alias("_1")).drop("_1")
-    ids = stored(ids, "near-ids")
+    ids = stored(compact(ids, 2 * n), "near-ids")
     sets = _sets_of(docs, classes, ids, width)
     one = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
     two = one.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
-    out = stored(two.mapInArrow(frugal(_compared(percent)), "a long, b long"), "near-links")
+    out = stored(compact(two, n, SETS).mapInArrow(frugal(_compared(percent)), "a long, b long"), "near-links")
     discard(ids, sets)
     return out
 
@@ -349,7 +351,8 @@ def _linked_crowds(
         F.min("component").alias("_low"), F.max("component").alias("_high")
     ).filter("_low <> _high").select("_region")
     split = stored(named.join(split, F.col("region") == F.col("_region"), "left_semi"), "near-split")
-    ids = stored(split.select(F.col("doc").alias("_id")).groupBy("_id").agg(F.lit(1).alias("_1")).drop("_1"), "near-ids")
+    ids = split.select(F.col("doc").alias("_id")).groupBy("_id").agg(F.lit(1).alias("_1")).drop("_1")
+    ids = stored(compact(ids, split.count()), "near-ids")
     if ids.isEmpty():
         return None
     sets = _sets_of(docs, classes, ids, width)
@@ -430,6 +433,8 @@ def _blocks(whole: DataFrame, comps: DataFrame) -> DataFrame | None:
 
 def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
     """The components (node, component) with further links (a, b)."""
+    if links.isEmpty():
+        return comps
     known = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
     return stored(components(known.union(links.select("a", "b"))), "near-components")
 
@@ -443,7 +448,8 @@ def _compared_whole(
         return comps
     dealt = dealt.repartition(shuffle_tasks(docs.sparkSession), "region").sortWithinPartitions("region")
     found = stored(dealt.mapInArrow(frugal(_across(percent)), _CANDIDATE), "near-found")
-    pairs = stored(found.filter("a is not null").select("a", "b").distinct(), "near-pairs")
+    pairs = found.filter("a is not null").select("a", "b")
+    pairs = stored(compact(pairs.distinct(), pairs.count()), "near-pairs")
     if pairs.isEmpty():
         return comps
     comps = _joined(comps, _confirmed(docs, classes, pairs, width, percent))
@@ -478,7 +484,8 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT)
     sorted_rows = rows.repartition(tasks, "region").sortWithinPartitions("region")
     found = stored(sorted_rows.mapInArrow(frugal(_candidates(percent)), _CANDIDATE), "near-found")
     pairs = found.filter("a is not null").select("a", "b")
-    pairs = stored((pairs.union(stars) if stars is not None else pairs).distinct(), "near-pairs")
+    pairs = pairs.union(stars) if stars is not None else pairs
+    pairs = stored(compact(pairs.distinct(), pairs.count()), "near-pairs")
     links = _confirmed(docs, classes, pairs, width, percent)
     comps = stored(components(links), "near-components")
     crowds = found.filter("a is null").select("region", "doc")
@@ -487,9 +494,7 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT)
         if more is not None:
             comps = _joined(comps, more)
     if whole is not None:
-        for first, end in TURNS:
-            turn = whole.filter((F.col("tree") >= first) & (F.col("tree") < end))
-            comps = _compared_whole(docs, classes, turn, comps, width, percent)
+        comps = _compared_whole(docs, classes, whole, comps, width, percent)
     named = stored(
         classes.select("set_print", "rep").join(comps, F.col("rep") == F.col("node"), "left").select(
             F.col("set_print").alias("_print"), F.coalesce("component", "rep").alias("_component")
