@@ -1,9 +1,9 @@
 """Quality rules: text statistics, and line frequency across the documents of a host.
 
-Lines are normalised (ASCII lower case, digits as 0, white space as one space)
-and hashed.  A line that more than ``line_limit`` texts of a host hold, and
-more than ``line_percent`` percent of them, is a template line and is removed; a document
-that loses over ``depleted_percent`` percent of its words to that is rejected.  The
+Lines are normalised (ASCII lower case, numbers that stand alone among words as
+0, white space as one space) and hashed.  A line that more than ``line_limit`` texts
+of a host hold, and more than ``line_percent`` percent of them or more than
+``line_ceiling`` texts, is a template line and is removed; a document that loses over ``depleted_percent`` percent of its words to that is rejected.  The
 host of a document is its ``source``.  Texts that are equal count once: copies
 are no sign of a template, and finding them is the work of other operators.
 
@@ -32,15 +32,21 @@ WINDOW = 8
 REPEAT_PERCENT = 30
 LINE_LIMIT = 20
 LINE_PERCENT = 5
+#: Texts of a host that make a line a template line however large the host is.
+LINE_CEILING = 1000
 DEPLETED_PERCENT = 70
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SYMBOLS = re.compile(r"[#*$%&|<>]+")
-_DIGITS = bytes.maketrans(b"0123456789", b"0000000000")
 
 
 def normalised(line: bytes) -> bytes:
-    return b" ".join(line.lower().translate(_DIGITS).split())
+    """ASCII lower case, one space between words; numbers among other words count as one number."""
+    words = line.lower().split()
+    numbers = [w.isdigit() for w in words]
+    if any(numbers) and not all(numbers):
+        words = [b"0" if number else w for w, number in zip(words, numbers, strict=True)]
+    return b" ".join(words)
 
 
 def line_hash(line: bytes) -> int:
@@ -98,7 +104,7 @@ def _analyse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def assess(
     docs: DataFrame, line_limit: int = LINE_LIMIT, line_percent: int = LINE_PERCENT,
-    depleted_percent: int = DEPLETED_PERCENT,
+    depleted_percent: int = DEPLETED_PERCENT, line_ceiling: int = LINE_CEILING,
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): statistics, words lost to template lines and the verdict.
 
@@ -123,7 +129,7 @@ def assess(
     counts = held.groupBy("source", "_line").agg(F.count("*").alias("_n")).filter(F.col("_n") > line_limit)
     template = stored(
         counts.join(hosts, same(F.col("source"), F.col("_host")))
-        .filter(F.col("_n") * 100 > line_percent * F.col("_texts"))
+        .filter((F.col("_n") * 100 > line_percent * F.col("_texts")) | (F.col("_n") > line_ceiling))
         .select("_host", F.col("_line").alias("_template")),
         "quality-template",
     )
@@ -183,18 +189,17 @@ OP1_SQL = r"""
 WITH line AS (
   SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS raw FROM documents WHERE text IS NOT NULL
 ), norm AS (
-  SELECT doc_id, source, text,
-         array_to_string(regexp_extract_all(
-           regexp_replace(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]', '0', 'g'),
-           '[^\x20\x09-\x0D]+'), ' ') AS l,
-         raw
-  FROM line
+  SELECT doc_id, source, text, raw, array_to_string(
+    CASE WHEN len(list_filter(ws, lambda w: NOT regexp_full_match(w, '[0-9]+'))) > 0
+      THEN list_transform(ws, lambda w: CASE WHEN regexp_full_match(w, '[0-9]+') THEN '0' ELSE w END) ELSE ws END, ' ') AS l
+  FROM (SELECT *, regexp_extract_all(
+          translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM line)
 ), held AS (SELECT * FROM norm WHERE l <> ''),
 counts AS (SELECT source, l, count(DISTINCT text) AS n FROM held GROUP BY 1, 2),
 hosts AS (SELECT source, count(DISTINCT coalesce('=' || text, '')) AS texts FROM documents GROUP BY 1),
 template AS (
   SELECT c.source, c.l FROM counts c JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source
-  WHERE n > 20 AND n * 100 > 5 * texts
+  WHERE n > 20 AND (n * 100 > 5 * texts OR n > 1000)
 ),
 lost AS (
   SELECT doc_id, sum(len(string_split(h.l, ' '))) AS lost_words

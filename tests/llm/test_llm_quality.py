@@ -55,6 +55,19 @@ def test_template_lines_go_and_depleted_documents_are_rejected(spark):
     assert clean[1].text == f"{words(1)}\n" and clean[1].n_chars == len(clean[1].text)
 
 
+def test_lines_of_other_content_are_not_one_line(spark):
+    assert quality.normalised(b"Page 12 of 340") == quality.normalised(b"page 7  OF 9")
+    assert quality.normalised(b"w10x0 w10x1") != quality.normalised(b"w11x0 w11x1")
+    assert quality.normalised(b"12 340") != quality.normalised(b"7 9")
+    rows = [(i, f"{words(i, 40)}\nstanding line of all\n", "big") for i in range(60)]
+    few = [(100 + i, f"{words(100 + i, 40)}\nline of some\n", "big") for i in range(30)]
+    rest = [(1000 + i, words(1000 + i, 40), "big") for i in range(610)]
+    got = {r.doc_id: r.lost_words for r in quality.assess(frame(spark, rows + few + rest), line_ceiling=25).collect()}
+    assert all(got[i] == 4 for i in range(60)) and all(got[100 + i] == 3 for i in range(30))
+    got = {r.doc_id: r.lost_words for r in quality.assess(frame(spark, rows + few + rest)).collect()}
+    assert all(got[i] == 4 for i in range(60)) and all(got[100 + i] == 0 for i in range(30))
+
+
 def test_repeated_rows_and_empty_tables(spark):
     docs = frame(spark, [(1, words(1), "a")] * 3 + [(None, words(2), None)] * 2)
     assert quality.clean(docs).count() == 5
