@@ -135,3 +135,61 @@ def test_top_category_order(spark):
     got = {r["customer_key"]: (r["preferred_category"], r["unique_categories"])
            for r in gold.top_category(facts_, dim).collect()}
     assert got == {"c": ("Food", 2), "d": ("Fuel", 1), "e": (None, 1)}
+
+
+def test_computed_keys_do_not_shuffle_the_fact(spark):
+    """With broadcasts by size off, only distinct keys are shuffled; the fact meets the few unknown ones by broadcast."""
+    from sarraf.functions.keys import surrogate_key
+    from sarraf.plans import facts
+
+    dim = spark.range(100).select(F.col("id").cast("string").alias("merchant_id")).withColumn("merchant_key", surrogate_key("merchant_id"))
+    fact = spark.range(2000).select(
+        F.when(F.col("id") % 50 != 0, (F.col("id") % 103).cast("string")).alias("m"), F.lit("wide" * 20).alias("payload")
+    )
+    looked_up = fact.join(dim, F.col("m") == F.col("merchant_id"), "left").select("m", "payload", "merchant_key")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        computed = facts.with_computed_key(fact, dim, "merchant", F.col("m"))
+        plan = computed._jdf.queryExecution().executedPlan().toString()
+        wide = [line for line in plan.splitlines() if "payload" in line and "Exchange" in line]
+        assert not wide and "BroadcastHashJoin" in plan
+        assert sorted(map(str, computed.collect())) == sorted(map(str, looked_up.collect()))
+        assert computed.filter("m IS NOT NULL AND merchant_key IS NULL").count() == looked_up.filter("m IS NOT NULL AND merchant_key IS NULL").count() > 0
+        none_missing = facts.with_computed_key(fact.filter("m < '3'"), dim, "merchant", F.col("m"))
+        assert "Join" not in none_missing._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_more_unknown_keys_than_may_be_broadcast_are_joined(spark, monkeypatch):
+    from sarraf.functions.keys import surrogate_key
+    from sarraf.plans import facts
+
+    monkeypatch.setattr(facts, "UNKNOWN_KEYS", 3)
+    dim = spark.range(5).select(F.col("id").cast("string").alias("merchant_id")).withColumn("merchant_key", surrogate_key("merchant_id"))
+    fact = spark.range(20).select(F.col("id").cast("string").alias("m"))
+    got = facts.with_computed_key(fact, dim, "merchant", F.col("m"))
+    assert got.columns == ["m", "merchant_key"] and got.filter("merchant_key IS NOT NULL").count() == 5
+
+
+def test_daily_sketches_unite(spark):
+    from sarraf.operators import sketches
+
+    rows = spark.range(40_000).select((F.col("id") % 30).alias("day"), (F.col("id") % 7919).cast("string").alias("customer"))
+    daily = sketches.daily_sketches(rows, ["day"], "customer")
+    assert daily.count() == 30
+    estimate = sketches.united(daily).first()["estimate"]
+    assert abs(estimate - 7919) <= 7919 * sketches.bound()
+    assert sketches.united(sketches.daily_sketches(rows.limit(0), ["day"], "customer"), "day").count() == 0
+
+
+def test_uniqueness_is_one_scan_per_table(spark, rows):
+    from sarraf.operators import quality
+
+    frame = spark.createDataFrame([(1, "a", None), (1, "b", None), (2, "b", None), (None, "c", None)], "i int, s string, n string")
+    checked = quality.check_unique(frame, "t", ["i", "s", "n"])
+    assert rows(checked) == [("t", "unique", "i", 1), ("t", "unique", "n", 0), ("t", "unique", "s", 1)]
+    assert quality.check_unique(frame.limit(0), "t", ["i"]).first()["failures"] == 0
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode") == 1
