@@ -156,7 +156,7 @@ def test_computed_keys_do_not_shuffle_the_fact(spark):
         assert not wide and "BroadcastHashJoin" in plan
         assert sorted(map(str, computed.collect())) == sorted(map(str, looked_up.collect()))
         assert computed.filter("m IS NOT NULL AND merchant_key IS NULL").count() == looked_up.filter("m IS NOT NULL AND merchant_key IS NULL").count() > 0
-        none_missing = facts.with_computed_key(fact.filter("m < '3'"), dim, "merchant", F.col("m"))
+        none_missing = facts.with_computed_key(fact.filter("length(m) = 1"), dim, "merchant", F.col("m"))
         assert "Join" not in none_missing._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
@@ -189,7 +189,6 @@ def test_uniqueness_is_one_scan_per_table(spark, rows):
 
     frame = spark.createDataFrame([(1, "a", None), (1, "b", None), (2, "b", None), (None, "c", None)], "i int, s string, n string")
     checked = quality.check_unique(frame, "t", ["i", "s", "n"])
+    assert plan_of(checked).count("Generate explode") == 1
     assert rows(checked) == [("t", "unique", "i", 1), ("t", "unique", "n", 0), ("t", "unique", "s", 1)]
     assert quality.check_unique(frame.limit(0), "t", ["i"]).first()["failures"] == 0
-    plan = checked._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Generate explode") == 1
