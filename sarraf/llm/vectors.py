@@ -15,14 +15,16 @@ several substrings counts in the first of them only, so link counts add up
 without listing pairs: a bucket gives one count and one connecting edge per
 vector.  Buckets over ``BLOCK`` vectors are dealt as pairs of blocks.
 
-Vectors that are null, zero, hold nulls or non-finite components or have
-another length than most link with nothing, as do vectors without vec_id.
+Vectors of different lengths have an index of their own for each length, one
+after the other.  Vectors that are null, zero or hold nulls or non-finite
+components link with nothing, as do vectors without vec_id.
 Repeated rows are vectors of their own and link with each other.  Empty tables
 give no rows; other columns, labels too, are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -198,20 +200,28 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPL
         ),
         "vector-read",
     )
-    usual = read.filter("size is not null").groupBy("size").count().orderBy(F.desc("count"), "size").first()
-    alone = read.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    if usual is None:
-        return alone
-    usable = (F.col("size") == usual["size"]) & F.col("vec_id").isNotNull()
+    usable = F.col("size").isNotNull() & F.col("vec_id").isNotNull()
+    sizes = read.filter(usable).groupBy("size").count().filter("count > 1").orderBy("size").collect()
+    found = [_of_length(spark, read.filter(usable & (F.col("size") == r["size"])), cosine, sample) for r in sizes]
+    if not found:
+        return read.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    named = functools.reduce(DataFrame.unionByName, found)
+    joined = read.join(named, (F.col("vec_print") == F.col("_print")) & usable, "left")
+    return joined.select(
+        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("component_id", "vec_id").alias("component_id"),
+    )
+
+
+def _of_length(spark: SparkSession, read: DataFrame, cosine: float, sample: int) -> DataFrame:
+    """(_print, component_id, n_links) of the distinct vectors of one length, at least two rows of them."""
     classes = stored(
-        read.filter(usable).groupBy("vec_print").agg(
+        read.groupBy("vec_print").agg(
             F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("raw").alias("raw")
         ),
         "vector-classes",
     )
     n = classes.count()
-    if not n:
-        return alone
     drawn = classes.orderBy(F.xxhash64("vec_print"), "vec_print").limit(sample).select("raw").toArrow()
     index = Index(_units(drawn.column("raw").combine_chunks()), n, cosine)
     # Classes that share an id are told apart by their print in the links, and share a component by their id.
@@ -249,7 +259,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPL
         grouped.groupBy(F.col("_component").alias("_c")).agg(F.min("rep").alias("component_id")), "vector-least"
     )
     counted = found.groupBy(F.col("a").alias("_a")).agg(F.sum("links").alias("_links"))
-    named = stored(
+    return stored(
         grouped.join(least, F.col("_component") == F.col("_c"))
         .join(counted, F.col("_name") == F.col("_a"), "left")
         .select(
@@ -258,11 +268,6 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPL
         ),
         "vector-named",
     )
-    out = read.join(named, (F.col("vec_print") == F.col("_print")) & usable, "left")
-    return out.select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component_id", "vec_id").alias("component_id"),
-    )
 
 
 def op8_itq_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:

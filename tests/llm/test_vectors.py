@@ -62,6 +62,18 @@ def test_repeated_rows_other_lengths_and_empty_table(spark):
     assert result(frame(spark, [(1, None)])) == {1: [0, 1]}
 
 
+def test_every_length_is_linked(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.standard_normal(3)) for i in range(60)] + [(100 + i, [1.0, 0.0]) for i in range(4)]
+    rows += [(200 + i, np.ones(16) + 0.05 * rng.standard_normal(16)) for i in range(20)] + [(300, [2.0])]
+    got = result(frame(spark, rows))
+    for length in (1, 2, 3, 16):
+        own = [r for r in rows if len(r[1]) == length]
+        if len(own) > 1:
+            assert {i: got[i] for i, _ in own} == plain(own)
+    assert got[300] == [0, 300] and got[100] == [3, 100]
+
+
 def test_rotation_is_a_rotation():
     sample = np.random.default_rng(3).standard_normal((500, 8)) * np.arange(1, 9)
     turn = vectors.learn_rotation(sample, 1)
