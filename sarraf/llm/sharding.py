@@ -6,7 +6,7 @@ Fisher-Yates shuffle and writes it.  The shuffled buckets, one after the other,
 are the global random order; dealing it out round robin gives shards whose row
 counts are at most one apart (law ``rows``), each with its slots in order.
 
-Nothing but one row per bucket meets in one task.  The hash covers the record,
+Nothing but the sums of groups of buckets meets in one task, as many as the root of their number.  The hash covers the record,
 not only its id, so neither a hot source nor a hot id lands in one bucket; only
 records equal in id, source and text share a bucket.  The order depends on the records,
 the seed and the number of buckets alone, so a repeated task writes the same.
@@ -17,11 +17,12 @@ each get a slot.  An empty table gives no rows.  Other columns are carried along
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from sarraf.llm.common import stored, table
@@ -75,6 +76,19 @@ def shuffled(docs: DataFrame, n_buckets: int, seed: int) -> DataFrame:
     return dealt.mapInArrow(_shuffle_buckets(seed), schema)
 
 
+def bucket_offsets(counts: DataFrame) -> DataFrame:
+    """_b and _before, the rows in all buckets before it, of ``counts`` (_group, _bucket, _n); groups are runs of buckets."""
+    def running(window) -> Column:
+        return F.coalesce(F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    groups = counts.groupBy("_group").agg(F.sum("_n").alias("_n"))
+    groups = groups.select(F.col("_group").alias("_g"), running(Window.orderBy("_group")).alias("_groups_before"))
+    inside = counts.withColumn("_inside", running(Window.partitionBy("_group").orderBy("_bucket")))
+    return inside.join(groups, F.col("_group") == F.col("_g")).select(
+        F.col("_bucket").alias("_b"), (F.col("_groups_before") + F.col("_inside")).alias("_before")
+    )
+
+
 def shard(
     docs: DataFrame, n_shards: int = SHARDS, bucket_bytes: int = BUCKET_BYTES, seed: int = 23, path: str | None = None
 ) -> DataFrame:
@@ -86,12 +100,12 @@ def shard(
     total = plain.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1)).first()[0] or 0
     n_buckets = max(n_shards, -(-total // bucket_bytes))
     buckets = stored(shuffled(plain, n_buckets, seed), "shard-buckets")
-    counts = buckets.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stored(
-        counts.select(F.col("_bucket").alias("_b"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")),
-        "shard-offsets",
+    counts = stored(
+        buckets.groupBy("_bucket").agg(F.count("*").alias("_n"))
+        .withColumn("_group", F.floor(F.col("_bucket") / math.isqrt(n_buckets)).cast("long")),
+        "shard-counts",
     )
+    offsets = stored(bucket_offsets(counts), "shard-offsets")
     place = F.col("_before") + F.col("_place")
     dealt = buckets.join(offsets, F.col("_bucket") == F.col("_b")).withColumns(
         {"shard": (place % n_shards).cast(IntegerType()), "slot": F.floor(place / n_shards)}
