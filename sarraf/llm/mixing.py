@@ -4,12 +4,17 @@ Weights are turned into token targets (a source is repeated ``MAX_PASSES``
 times at most, what it cannot supply goes to the others), targets into integer
 block quotas by highest quotients ``target / (2 k + 1)``, and quotas into
 blocks: the words of a source, its documents in seeded order, are cut into
-blocks of equal size; whole passes take every block, the last pass takes a run
-of blocks from a seeded start.  As documents stand in seeded order, the run is
-a random sample of them, and only the documents at its two ends are cut.
+blocks of equal size.  Sources too small for ``BLOCKS_AT_LEAST`` blocks of
+``BLOCK_WORDS`` words have blocks of half, a quarter, ... of that; sources with
+blocks of one size are apportioned together, so a small source changes nothing
+for the others.
 
 The apportionment is house monotone, so the quota of shard ``j`` is what the
-first ``j + 1`` shards get less what the first ``j`` get.
+first ``j + 1`` shards get less what the first ``j`` get.  The shards draw their
+blocks one after the other from a seeded start, beginning anew after the last
+block of the source: no block is taken once more before all others were.  As
+documents stand in seeded order, a run of blocks is a random sample of them, and
+only the documents at its ends are cut.
 
 Only sums per source meet in one task.  The place of a document among the
 words of its source comes from two levels of running sums, so a source with a
@@ -36,7 +41,7 @@ from sarraf.llm.common import n_words, same, stored, table
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
 SHARDS = 8
-#: Most words of a block; small sources make blocks smaller, so that they have ``BLOCKS_AT_LEAST`` of them.
+#: Most words of a block; small sources have smaller ones, so that they have ``BLOCKS_AT_LEAST`` of them.
 BLOCK_WORDS = 2048
 BLOCKS_AT_LEAST = 128
 
@@ -95,6 +100,33 @@ def apportion(votes: Sequence[float], house: int, caps: Sequence[int]) -> list[i
     return seats
 
 
+def block_size(size: int, block_words: int = BLOCK_WORDS) -> int:
+    """``block_words``, halved until a source of ``size`` words has enough blocks."""
+    while block_words > 1 and size < BLOCKS_AT_LEAST * block_words:
+        block_words //= 2
+    return block_words
+
+
+def shard_quotas(
+    goal: Sequence[float], sizes: Sequence[int], shards: int, passes: int = MAX_PASSES, block_words: int = BLOCK_WORDS
+) -> list[list[int]]:
+    """Blocks of each source that each shard takes."""
+    of_size = [block_size(s, block_words) for s in sizes]
+    quotas = [[0] * shards for _ in sizes]
+    for block in set(of_size):
+        group = [i for i, b in enumerate(of_size) if b == block]
+        caps = [passes * -(-sizes[i] // block) for i in group]
+        votes = [goal[i] for i in group]
+        house = round(sum(votes) / block)
+        before = [0] * len(group)
+        for j in range(shards):
+            seats = apportion(votes, house * (j + 1) // shards, caps)
+            for i, a, b in zip(group, before, seats, strict=True):
+                quotas[i][j] = b - a
+            before = seats
+    return quotas
+
+
 def _plan(weights: Sequence[float], passes: int, shards: int, block_words: int, seed: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pdf = pd.concat([*batches, pd.DataFrame({"source": [], "source_size": []})], ignore_index=True)
@@ -106,21 +138,20 @@ def _plan(weights: Sequence[float], passes: int, shards: int, block_words: int,
             return
         names, sizes = [r[0] for r in rows], [int(r[1]) for r in rows]
         goal = targets(sizes, [weights[i % len(weights)] for i in range(len(rows))], passes)
-        block = max(1, min(block_words, min((s for s in sizes if s), default=1) // BLOCKS_AT_LEAST))
-        blocks = [-(-s // block) for s in sizes]
-        house = round(sum(goal) / block)
-        cuts = [apportion(goal, house * j // shards, [passes * b for b in blocks]) for j in range(1, shards + 1)]
+        of_size = [block_size(s, block_words) for s in sizes]
+        blocks = [-(-s // b) for s, b in zip(sizes, of_size, strict=True)]
+        quotas = shard_quotas(goal, sizes, shards, passes, block_words)
         draw = np.random.default_rng(seed)
         yield pd.DataFrame(
             {
                 "source": pd.Series(names, dtype=object),
                 "source_size": sizes,
                 "target": goal,
-                "block_words": block,
+                "block_words": of_size,
                 "n_blocks": blocks,
-                "quota": cuts[-1],
+                "quota": [sum(q) for q in quotas],
                 "start_block": [int(draw.integers(b)) if b else 0 for b in blocks],
-                "shard_quotas": [[b - a for a, b in zip([0, *col], col, strict=False)] for col in zip(*cuts, strict=True)],
+                "shard_quotas": quotas,
             }
         )
 
@@ -148,7 +179,9 @@ def document_quotas(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, passes: int = MAX_PASSES, shards: int = SHARDS,
     block_words: int = BLOCK_WORDS, seed: int = 17,
 ) -> tuple[DataFrame, DataFrame]:
-    """(documents, sources): per row doc_id, source, text_hash, size, source_size, target, taken; per source its plan.
+    """(documents, sources): per row doc_id, source, text_hash, size, source_size, target, taken, shard_taken; per source its plan.
+
+    ``shard_taken`` has the words that shards 0, 1, ... take of the row as fields shard_0, shard_1, ...; ``taken`` is their sum.
 
     ``docs`` needs doc_id, text and source.
     """
@@ -183,17 +216,25 @@ def document_quotas(
     )
     end = F.col("_before") + F.col("_in")
     begin = end - F.col("size")
-    whole = F.when(F.col("n_blocks") > 0, F.floor(F.col("quota") / F.col("n_blocks"))).otherwise(0)
-    run = F.col("quota") - whole * F.col("n_blocks")
-    first, last = F.col("start_block"), F.col("start_block") + run
-    block = F.col("block_words")
-    taken = (
-        whole * F.col("size")
-        + _overlap(begin, end, first * block, last * block)
-        + _overlap(begin, end, F.lit(0), (last - F.col("n_blocks")) * block)
-    )
+    block, n, start = F.col("block_words"), F.col("n_blocks"), F.col("start_block")
+
+    def words_of_first(blocks: Column) -> Column:
+        """Words of the row among so many blocks from the start."""
+        whole = F.when(n > 0, F.floor(blocks / n)).otherwise(0)
+        last = start + blocks - whole * n
+        return (
+            whole * F.col("size") + _overlap(begin, end, start * block, last * block)
+            + _overlap(begin, end, F.lit(0), (last - n) * block)
+        ).cast("long")
+
+    up_to = [F.lit(0).cast("long")]
+    for j in range(shards):
+        up_to.append(up_to[-1] + F.element_at("shard_quotas", j + 1))
+    cuts = enumerate(zip(up_to, up_to[1:], strict=False))
+    per_shard = F.struct(*((words_of_first(b) - words_of_first(a)).alias(f"shard_{j}") for j, (a, b) in cuts))
     out = planned.select(
-        "doc_id", "source", "text_hash", "size", "source_size", "target", taken.cast("long").alias("taken")
+        "doc_id", "source", "text_hash", "size", "source_size", "target", words_of_first(F.col("quota")).alias("taken"),
+        per_shard.alias("shard_taken"),
     )
     return out, plan
 
@@ -219,5 +260,8 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
 
 def op10_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``shard_taken``: the words that shards 0, 1, ... take, joined by commas."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return document_quotas(docs)[0].select("doc_id", "size", "source_size", "target", "taken")
+    quotas = document_quotas(docs)[0]
+    per_shard = F.concat_ws(",", *(F.col(f"shard_taken.shard_{j}").cast("string") for j in range(SHARDS)))
+    return quotas.select("doc_id", "size", "source_size", "target", "taken", per_shard.alias("shard_taken"))

@@ -1,6 +1,8 @@
+import math
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from sarraf.llm import mixing, sharding
 
@@ -34,6 +36,22 @@ def test_shards_are_even_random_and_repeatable(spark, tmp_path):
     assert written.count() == len(rows)
 
 
+def test_shards_against_plain_python(spark):
+    """Buckets by Spark's hash, everything else without Spark."""
+    rows = [(i % 700, f"text {i % 900} " * (i % 40), f"s{i % 3}" if i % 7 else None) for i in range(1500)]
+    docs = frame(spark, rows)
+    size, seed = 20_000, 23
+    n_buckets = max(8, -(-sum(len(t) + 1 for _, t, _ in rows) // size))
+    marks = docs.select("doc_id", "source", "text", F.xxhash64(F.lit(seed), "doc_id", "source", "text").alias("h")).collect()
+    order = []
+    for bucket in range(n_buckets):
+        own = sorted((r.h, r.doc_id, r.source or "", r.text) for r in marks if r.h % n_buckets == bucket)
+        order += [own[k] for k in sharding.fisher_yates(len(own), (seed, bucket))]
+    want = Counter((i, s, t, at % 8, at // 8) for at, (_, i, s, t) in enumerate(order))
+    got = sharding.shard(docs.repartition(4), bucket_bytes=size).collect()
+    assert Counter((r.doc_id, r.source or "", r.text, r.shard, r.slot) for r in got) == want
+
+
 def test_no_rows_no_shards(spark):
     assert sharding.shard(frame(spark, []).limit(0)).count() == 0
 
@@ -96,6 +114,41 @@ def test_taken_words_come_near_the_target(spark):
     assert Counter(map(tuple, again)) == Counter(map(tuple, got))
     for r in plan.collect():
         assert sum(r.shard_quotas) == r.quota and min(r.shard_quotas) >= 0
+    assert all(sum(r.shard_taken) == r.taken and min(r.shard_taken) >= 0 for r in got)
+
+
+def test_taken_words_are_those_of_the_drawn_blocks(spark):
+    """Word by word: each shard marks the words of its blocks."""
+    rows = mixed_rows()
+    docs = frame(spark, rows)
+    quotas, plan = mixing.document_quotas(docs.repartition(3), seed=17)
+    marks = docs.select(
+        "doc_id", "source", F.xxhash64("text").alias("text_hash"), F.xxhash64(F.lit(17), "doc_id", "text").alias("h"), "text"
+    ).collect()
+    slices, want = math.isqrt(len(rows)), Counter()
+    for p in plan.collect():
+        own = [(r.h % slices, r.h, r.doc_id or -1, len((r.text or "").split()), r) for r in marks if r.source == p.source]
+        own.sort(key=lambda o: o[:4])
+        words = [k for k, o in enumerate(own) for _ in range(o[3])]
+        taken = [[0] * 8 for _ in own]
+        at = p.start_block
+        for j, quota in enumerate(p.shard_quotas):
+            for _ in range(quota):
+                for k in words[at * p.block_words : (at + 1) * p.block_words]:
+                    taken[k][j] += 1
+                at = (at + 1) % p.n_blocks
+        want.update((o[4].doc_id, p.source, o[4].text_hash, tuple(t)) for o, t in zip(own, taken, strict=True))
+    assert Counter((r.doc_id, r.source, r.text_hash, tuple(r.shard_taken)) for r in quotas.collect()) == want
+
+
+def test_small_sources_do_not_set_the_blocks_of_others():
+    sizes = [3, 0, 5_000, 400_000, 900_000]
+    goal = mixing.targets(sizes, [5, 2, 1, 5, 2])
+    quotas = mixing.shard_quotas(goal, sizes, 8)
+    assert [mixing.block_size(s) for s in sizes] == [1, 1, 32, 2048, 2048]
+    for g, s, q in zip(goal, sizes, quotas, strict=True):
+        assert abs(sum(q) * mixing.block_size(s) - g) <= max(1, 0.02 * g)
+        assert max(q) - min(q) <= max(2, 0.2 * max(q))
 
 
 def test_mix_repeats_whole_rows_and_keeps_columns(spark):
