@@ -192,3 +192,12 @@ def test_uniqueness_is_one_scan_per_table(spark, rows):
     assert plan_of(checked).count("Generate explode") == 1
     assert rows(checked) == [("t", "unique", "i", 1), ("t", "unique", "n", 0), ("t", "unique", "s", 1)]
     assert quality.check_unique(frame.limit(0), "t", ["i"]).first()["failures"] == 0
+
+
+def test_upsert_keeps_every_wallet(spark):
+    """Each wallet comes out with its last row, whatever its number ends in."""
+    wh = registry.warehouse(spark, SF_DIR)
+    last = wh.table("silver_wallet").groupBy("mobile_number_masked").agg(F.max("transaction_datetime").alias("ts"))
+    want = {r["mobile_number_masked"]: r["ts"] for r in last.collect()}
+    got = project.queries()["upsert_by_key"](spark, SF_DIR).withColumn("ts", F.to_timestamp("transaction_datetime"))
+    assert {r["mobile_number_masked"]: r["ts"] for r in got.collect()} == want
