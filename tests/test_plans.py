@@ -201,3 +201,14 @@ def test_upsert_keeps_every_wallet(spark):
     want = {r["mobile_number_masked"]: r["ts"] for r in last.collect()}
     got = project.queries()["upsert_by_key"](spark, SF_DIR).withColumn("ts", F.to_timestamp("transaction_datetime"))
     assert {r["mobile_number_masked"]: r["ts"] for r in got.collect()} == want
+
+
+def test_change_feed_keeps_every_wallet(spark):
+    """The last change of each wallet decides, whatever its number ends in; only cancelled wallets are gone."""
+    wh = registry.warehouse(spark, SF_DIR)
+    last = wh.raw("raw_wallet_transactions").groupBy("mobile_number").agg(
+        F.max_by("transaction_type", "transaction_date").alias("kind"), F.max("transaction_date").alias("ts")
+    )
+    want = {r["mobile_number"]: r["ts"] for r in last.collect() if not r["kind"].startswith("ANNULATION")}
+    got = project.queries()["cdc_apply"](spark, SF_DIR).withColumn("ts", F.to_timestamp("ts"))
+    assert {r["wallet"]: r["ts"] for r in got.collect()} == want
