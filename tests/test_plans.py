@@ -212,3 +212,13 @@ def test_change_feed_keeps_every_wallet(spark):
     want = {r["mobile_number"]: r["ts"] for r in last.collect() if not r["kind"].startswith("ANNULATION")}
     got = project.queries()["cdc_apply"](spark, SF_DIR).withColumn("ts", F.to_timestamp("ts"))
     assert {r["wallet"]: r["ts"] for r in got.collect()} == want
+
+
+def test_run_documents_are_stored_packed(spark, tmp_path, monkeypatch):
+    """A line gives three nodes of some 220 bytes of JSON; on storage they take a fraction of that."""
+    from sarraf.sources import tables
+
+    monkeypatch.setattr(tables, "scratch_dir", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    nodes = project.queries()["run_results_flatten"](spark, SF_DIR).count()
+    stored = sum(f.stat().st_size for f in (tmp_path / "run-results").glob("part-*"))
+    assert stored < 60 * nodes / 3
