@@ -222,3 +222,13 @@ def test_run_documents_are_stored_packed(spark, tmp_path, monkeypatch):
     nodes = project.queries()["run_results_flatten"](spark, SF_DIR).count()
     stored = sum(f.stat().st_size for f in (tmp_path / "run-results").glob("part-*"))
     assert stored < 60 * nodes / 3
+
+
+def test_a_mart_reads_facts_without_a_copy(spark):
+    """A fact with computed keys is read from its staged table: nothing of it is written, and it is not shuffled."""
+    wh = registry.warehouse(spark, SF_DIR)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = plan_of(wh.fact("fact_card_transactions", "customer", "card", "merchant", "category"))
+    assert "Exchange" not in plan
+    wh.table("fact_card_transactions")
+    assert not [name for name in wh.rows_written if name.startswith("fact_")]
