@@ -9,7 +9,8 @@ import __spark_entry__ as project
 from sarraf import registry
 from sarraf.operators.dedup import latest_per_key
 from sarraf.plans import facts, gold
-from sarraf.plans.warehouse import MODELS
+from sarraf.plans.warehouse import MODELS, Warehouse
+from sarraf.sources import bankdata
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -48,6 +49,14 @@ def test_only_fixed_size_tables_are_broadcast_by_hint(spark, name):
     assert plan.count("BroadcastExchange") == fixed
 
 
+def test_seed_use_writes_and_sorts_no_silver_table(spark, tmp_path):
+    """Codes are counted by key and value: no table is built, whole rows are not ranked."""
+    wh = Warehouse(spark, bankdata.raw_tables(spark, SF_DIR), root=str(tmp_path))
+    plan = plan_of(registry._seed_use(wh))
+    assert not wh.rows_written and not list(tmp_path.iterdir())
+    assert "Window" not in plan
+
+
 def test_dedup_keeps_one_row_per_key_before_the_shuffle(spark):
     plan = plan_of(registry.lazy_warehouse(spark, SF_DIR).plan("silver_kaggle"))
     before, after = plan.index("WindowGroupLimit"), plan.rindex("WindowGroupLimit")

@@ -118,6 +118,21 @@ def test_missing_order_value_comes_last(spark):
     assert dedup.latest_per_key(df, "key", "day").first()["v"] == 2
 
 
+@pytest.mark.parametrize("disputed", [False, True])
+def test_counts_of_kept_values(spark, rows, disputed):
+    """As many rows as latest_per_key keeps: values that differ within a key, that are NULL or that tie."""
+    day = [dt.date(2024, 1, 1), dt.date(2024, 1, 2), None]
+    data = [("same", day[0], 9, 1), ("same", day[1], 8, 1), ("none", day[0], 9, None), ("one", day[2], 9, 2), (None, day[0], 9, 1)]
+    if disputed:
+        data += [("later", day[0], 9, 1), ("later", day[1], 9, 3), ("tie", day[1], 9, 1), ("tie", day[1], 8, 2),
+                 ("null", day[1], 9, 5), ("null", day[0], 9, None), ("to_null", day[0], 9, 5), ("to_null", day[1], 9, None),
+                 ("low", day[0], 9, -1), ("low", day[2], 9, 4), (None, day[1], 9, 6)]
+    df = spark.createDataFrame(data, "key string, day date, amount int, v int").repartition(3)
+    got = dedup.count_kept(df, "key", "day", lambda kept: kept.select("key", F.col("v").alias("value")))
+    expected = dedup.latest_per_key(df, "key", "day").groupBy("v").agg(F.count("*"))
+    assert rows(got) == rows(expected)
+
+
 def test_ordinals_are_dense(spark):
     ids = spark.range(5000).select(F.col("id").cast("string").alias("client_id"))
     for frame in (ids, ids.repartition(7).unionByName(ids)):
