@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as project
 from sarraf import registry
 from sarraf.operators.dedup import latest_per_key
-from sarraf.plans import facts, gold
+from sarraf.plans import facts, gold, silver
 from sarraf.plans.warehouse import MODELS, Warehouse
 from sarraf.sources import bankdata
 
@@ -57,6 +57,15 @@ def test_seed_use_writes_and_sorts_no_silver_table(spark, tmp_path):
     assert "Window" not in plan
 
 
+def test_snapshots_of_purchases_build_no_silver_table(spark, tmp_path):
+    """The states come from the columns that decide: no labels, no cities, no copy of the purchases."""
+    wh = Warehouse(spark, bankdata.raw_tables(spark, SF_DIR), root=str(tmp_path))
+    registry._two_snapshots(wh)
+    assert not wh.rows_written and not list(tmp_path.iterdir())
+    plan = plan_of(silver.kept(silver.KAGGLE_TRANSACTIONS, wh.raw("raw_kaggle_transactions"), "client_id", "use_chip"))
+    assert "l_partkey" in plan and "p_brand" not in plan and "l_suppkey" not in plan
+
+
 def test_dedup_keeps_one_row_per_key_before_the_shuffle(spark):
     plan = plan_of(registry.lazy_warehouse(spark, SF_DIR).plan("silver_kaggle"))
     before, after = plan.index("WindowGroupLimit"), plan.rindex("WindowGroupLimit")

@@ -133,6 +133,19 @@ def test_counts_of_kept_values(spark, rows, disputed):
     assert rows(got) == rows(expected)
 
 
+@pytest.mark.parametrize("wanted", [("key", "day"), ("t",), ("a", "key"), ("t", "b"), ("c", "a")])
+def test_wanted_columns_of_the_kept_rows(spark, rows, wanted):
+    """The same as of whole rows, also where rows tie up to the last wanted column or are NULL there."""
+    cells = (None, "1", "2")
+    days = (None, dt.date(2024, 1, 1), dt.date(2024, 1, 2))
+    data = [(cells[i % 2], days[i // 2 % 3 if i % 5 else 2], cells[i * 7 % 3], cells[i // 4 % 3], cells[i // 9 % 3], cells[i % 3])
+            for i in range(60)]
+    data += [(f"k{i % 9}", days[i % 2], cells[i // 18 % 2], cells[i // 9 % 2], cells[-(i // 36 % 2)], cells[i % 3]) for i in range(72)]
+    df = spark.createDataFrame(data, "key string, day date, a string, t string, b string, c string").repartition(5)
+    whole = dedup.latest_per_key(df, "key", "day", ["t"]).select(*wanted)
+    assert rows(dedup.latest_columns(df, "key", "day", wanted, ["t"])) == rows(whole)
+
+
 def test_ordinals_are_dense(spark):
     ids = spark.range(5000).select(F.col("id").cast("string").alias("client_id"))
     for frame in (ids, ids.repartition(7).unionByName(ids)):
