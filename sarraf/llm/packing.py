@@ -24,8 +24,10 @@ columns are not kept.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import re
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -50,39 +52,107 @@ BLOCK_EXAMPLES = 2048
 BLOCK_TOKENS = 4 << 20
 #: Open ends of partitions that are packed together.
 ENDS = 256
-#: Distinct words, and their bytes, whose ids a task remembers.
+#: Distinct runs, and their bytes, whose ids a task remembers.
 WORDS = 400_000
 WORD_BYTES = 32 << 20
+#: Bytes of texts that are encoded at once; only a longer word exceeds them.
+STEP = 8 << 20
 #: Ids of a batch of results.
 CHUNK_IDS = 1_000_000
 
 
-#: What the vocabulary splits a lower-case ASCII word into.
-_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: Kinds of bytes: white space, letters, digits, all others.
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_KINDS = np.full(256, _OTHER, np.uint8)
+_KINDS[list(b" \t\n\v\f\r")] = _SPACE
+_KINDS[list(b"abcdefghijklmnopqrstuvwxyz")] = _LETTER
+_KINDS[list(b"0123456789")] = _DIGIT
+_SPACES = re.compile(rb"[ \t-\r]")
 #: A word of letters with marks behind it.
 _MARKED = re.compile(r"(.*[^\W\d_])([.,;:!?]+)")
 
 
+def _short_endings(low: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, lengths) of 's, 't, 're, 've, 'm, 'll and 'd; an apostrophe behind another mark belongs to that."""
+    at = np.flatnonzero(low == ord("'"))
+    at = at[(at == 0) | (kinds[at - 1] != _OTHER)]
+    after = np.concatenate([low, np.zeros(2, np.uint8)])
+    x, y = after[at + 1], after[at + 2]
+    two = (x == ord("r")) & (y == ord("e")) | (x == ord("v")) & (y == ord("e")) | (x == ord("l")) & (y == ord("l"))
+    size = np.where(np.isin(x, list(b"stmd")), 2, np.where(two, 3, 0))
+    return at[size > 0], size[size > 0]
+
+
+def runs_of(text: bytes) -> tuple[np.ndarray, pa.Array]:
+    """(places, bytes) of the runs of a text that the vocabulary encodes on their own.
+
+    ASCII words fall into lower-case runs of letters, single digits, short endings and runs of other marks;
+    a word that the vocabulary may read otherwise is one run as it stands.
+    """
+    raw, low = np.frombuffer(text, np.uint8), np.frombuffer(text.lower(), np.uint8)
+    kinds = _KINDS[low]
+    new = kinds == _DIGIT
+    new[:1] = True
+    new[1:] |= kinds[1:] != kinds[:-1]
+    at, size = _short_endings(low, kinds)
+    new[at + 1] = False
+    stop = at + size
+    new[stop[stop < len(new)]] = True
+    there = kinds != _SPACE
+    new &= there
+
+    odd = raw >= 128
+    odd[:-1] |= (raw[:-1] == ord("<")) & (raw[1:] == ord("|"))
+    odd = np.flatnonzero(odd)
+    if len(odd):
+        edges = np.flatnonzero(np.diff(there, prepend=False, append=False))
+        begins, ends = edges[::2], edges[1::2]
+        words = np.unique(np.searchsorted(begins, odd, side="right") - 1)
+        inside = np.zeros(len(raw) + 1, np.int8)
+        inside[begins[words]] = 1
+        inside[ends[words]] = -1
+        inside = np.cumsum(inside[:-1], dtype=np.int8).view(bool)
+        new &= ~inside
+        new[begins[words]] = True
+        low = np.where(inside, raw, low)
+    data = low[there]
+    offsets = np.append(np.flatnonzero(new[there]), len(data)).astype(np.int32)
+    runs = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return np.flatnonzero(new), runs
+
+
 def parts_of(word: str) -> list[str]:
-    """Runs of a word that the vocabulary encodes on their own; a word it may read otherwise is one part."""
-    if "<|" in word:
-        return [word]
-    if word.isascii():
-        return _PARTS.findall(word.lower())
-    marked = _MARKED.fullmatch(word)
-    return [marked[1], marked[2]] if marked and marked[1].isalpha() else [word]
+    """A word of letters, which are letters too when the vocabulary has normalised them, and the marks behind it; another word is one part."""
+    marked = None if "<|" in word else _MARKED.fullmatch(word)
+    letters = marked and marked[1].isalpha() and unicodedata.normalize("NFC", marked[1]).lower().isalpha()
+    return [marked[1], marked[2]] if letters else [word]
+
+
+@functools.lru_cache(maxsize=2)
+def _plain_tokenizer(model: str):
+    """The tokenizer of lower-case ASCII runs with a space between, which leaves nothing to normalise or cut."""
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    plain = Tokenizer.from_str(model)
+    plain.no_truncation()
+    plain.no_padding()
+    plain.normalizer = normalizers.Sequence([])
+    bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytewise])
+    return plain
 
 
 class WordIds:
     """Ids of texts.
 
-    White space never joins tokens of this vocabulary, so each distinct word is
-    encoded once; and since every run of letters or marks ends in a token that
-    says so, the runs of many words are encoded as one text and told apart again.
+    Tokens of this vocabulary never reach over runs of letters or marks, so each
+    distinct run is encoded once; and since every run ends in a token that says so,
+    many are encoded as one text and told apart again.  The runs of many texts are cut and told
+    apart as one column.
     """
 
     def __init__(self, model: str):
-        self.own = _tokenizer(model)
+        self.own, self.plain = _tokenizer(model), _plain_tokenizer(model)
         names = self.own.get_vocab(with_added_tokens=False)
         self.last = np.zeros(max(names.values()) + 3, bool)
         self.last[[i for name, i in names.items() if name.endswith("</w>")]] = True
@@ -98,30 +168,30 @@ class WordIds:
     def _alone(self, parts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.own.encode_batch_fast(parts, add_special_tokens=False)]
 
-    def _together(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _together(self, own, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ends) of parts that are one run each."""
         groups = [parts[i : i + 500] for i in range(0, len(parts), 500)]
         ids, counts = [], []
-        for group, e in zip(groups, self.own.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
-            own = np.array(e.ids, np.int32)
-            ends = np.flatnonzero(self.last[own]) + 1
+        for group, e in zip(groups, own.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            some = np.array(e.ids, np.int32)
+            ends = np.flatnonzero(self.last[some]) + 1
             if len(ends) != len(group):  # some part is not one run after all
                 found = self._alone(group)
-                own = np.fromiter(itertools.chain.from_iterable(found), np.int32)
+                some = np.fromiter(itertools.chain.from_iterable(found), np.int32)
                 ends = np.cumsum([len(x) for x in found])
-            ids.append(own)
+            ids.append(some)
             counts.append(np.diff(ends, prepend=0))
         return np.concatenate([np.empty(0, np.int32), *ids]), np.cumsum(np.concatenate([np.empty(0, np.int64), *counts]))
 
-    def _learn(self, words: list[str]) -> None:
-        """Put the ids of new words behind those known; parts that were seen before are not encoded again."""
-        split = [parts_of(w) for w in words]
+    def _odd(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends) of words that may be more than one run; parts that were seen before are not encoded again."""
+        split = list(map(parts_of, words))
         known = len(self.parts)
         n = np.fromiter(map(len, split), np.int64, len(split))
         which = np.fromiter(map(self.parts.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(n.sum()))
         new = list(itertools.islice(self.parts, known, None))
-        single = np.array([p.isascii() and "<|" not in p or p.isalpha() for p in new], bool)
-        flat, ends = self._together([p for p, one in zip(new, single.tolist(), strict=True) if one])
+        single = np.array([p.isalpha() or p.isascii() and "<|" not in p for p in new], bool)
+        flat, ends = self._together(self.own, [p for p, one in zip(new, single.tolist(), strict=True) if one])
         rest = self._alone([p for p, one in zip(new, single.tolist(), strict=True) if not one])
         counts, starts = np.empty(len(new), np.int64), np.empty(len(new), np.int64)
         counts[single] = np.diff(ends, prepend=0)
@@ -131,22 +201,55 @@ class WordIds:
         self.part_starts = np.concatenate([self.part_starts, len(self.part_flat) + starts])
         self.part_counts = np.concatenate([self.part_counts, counts])
         self.part_flat = np.concatenate([self.part_flat, flat, np.fromiter(itertools.chain.from_iterable(rest), np.int32)])
-        of_words = np.concatenate([[0], np.cumsum(self.part_counts[which])])[np.concatenate([[0], np.cumsum(n)])]
-        self.starts = np.concatenate([self.starts, len(self.flat) + of_words[:-1]])
-        self.counts = np.concatenate([self.counts, np.diff(of_words)])
-        self.flat = np.concatenate([self.flat, _gathered(self.part_flat, self.part_starts[which], self.part_counts[which])])
-
-    def of(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        if len(self.numbers) > WORDS or self.held > WORD_BYTES:
-            self._forget()
+        reach = np.concatenate([[0], np.cumsum(self.part_counts[which])])
+        return _gathered(self.part_flat, self.part_starts[which], self.part_counts[which]), reach[np.cumsum(n)]
+
+    def _learn(self, runs: list[bytes]) -> None:
+        """Put the ids of new runs behind those known."""
+        odd = np.array([b"<|" in r or not r.isascii() for r in runs], bool)
+        counts, starts, at = np.empty(len(runs), np.int64), np.empty(len(runs), np.int64), len(self.flat)
+        flats = [self.flat]
+        for encode, own in ((functools.partial(self._together, self.plain), ~odd), (self._odd, odd)):
+            flat, ends = encode([r.decode("utf-8", "replace") for r in itertools.compress(runs, own.tolist())])
+            counts[own] = np.diff(ends, prepend=0)
+            starts[own] = at + ends - counts[own]
+            flats.append(flat)
+            at += len(flat)
+        self.starts, self.counts = np.concatenate([self.starts, starts]), np.concatenate([self.counts, counts])
+        self.flat = np.concatenate(flats)
+
+    def _numbers(self, runs: pa.Array) -> np.ndarray:
+        told = runs.dictionary_encode()
         known = len(self.numbers)
-        rows = [np.array(list(map(self.numbers.__getitem__, t.split())), np.int64) for t in texts]
+        distinct = told.dictionary.to_numpy(zero_copy_only=False).tolist()
+        which = np.fromiter(map(self.numbers.__getitem__, distinct), np.int64, len(distinct))
         if len(self.numbers) > known:
             new = list(itertools.islice(self.numbers, known, None))
             self.held += sum(map(len, new))
-            self._learn([w.decode("utf-8", "replace") for w in new])
-        for row in rows:
-            yield _gathered(self.flat, self.starts[row], self.counts[row])
+            self._learn(new)
+        return which[told.indices.to_numpy()]
+
+    def of(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        if len(self.numbers) > WORDS or self.held > WORD_BYTES:
+            self._forget()
+        text = b"\n".join(texts)
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        edges = np.zeros(len(begins), np.int64)
+        ids, at, done = [np.empty(0, np.int32)], 0, 0
+        while at < len(text):
+            space = _SPACES.search(text, at + STEP)
+            stop = space.start() if space else len(text)
+            places, runs = runs_of(text[at:stop])
+            which = self._numbers(runs)
+            reach = np.concatenate([[0], np.cumsum(self.counts[which])])
+            here = slice(*np.searchsorted(begins, [at, stop]))
+            edges[here] = done + reach[np.searchsorted(places, begins[here] - at)]
+            ids.append(_gathered(self.flat, self.starts[which], self.counts[which]))
+            at, done = stop, done + int(reach[-1])
+        edges[np.searchsorted(begins, at) :] = done
+        flat = np.concatenate(ids)
+        for x, y in itertools.pairwise(edges.tolist()):
+            yield flat[x:y]
 
 
 def _encoded(model: str, end: int | None):
@@ -155,12 +258,21 @@ def _encoded(model: str, end: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, np.ndarray, None]]:
         words = WordIds(model)
         last = np.array([] if end is None else [end], np.int32)
+
+        def examples(names: list, texts: list[bytes]) -> Iterator[tuple[object, np.ndarray, None]]:
+            for name, ids in zip(names, words.of(texts), strict=True):
+                yield name, np.concatenate([ids, last]), None
+
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in part.column("text")]
-                for example, ids in zip(part.column("doc_id").to_pylist(), words.of(texts), strict=True):
-                    yield example, np.concatenate([ids, last]), None
+            names, texts, held = [], [], 0
+            for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()), strict=True):
+                names.append(name)
+                texts.append(text.as_py() or b"")
+                held += len(texts[-1])
+                if held >= STEP:
+                    yield from examples(names, texts)
+                    names, texts, held = [], [], 0
+            yield from examples(names, texts)
 
     return run
 

@@ -1,5 +1,6 @@
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -98,6 +99,36 @@ def test_words_are_encoded_as_the_library_does(spark):
     checked(rows, Limits(capacity=512, max_loss=512))
 
 
+def test_runs_are_cut_as_the_vocabulary_cuts_them():
+    text = "Don't we'll 'tis a's's ''s x'd12 it's- (a_b) O'Reilly've \x1cq  é.'s a<|b 'S\t"
+    places, runs = packing.runs_of(text.encode())
+    assert [r.as_py().decode() for r in runs] == [
+        "don", "'t", "we", "'ll", "'t", "is", "a", "'s", "'s", "''", "s", "x", "'d", "1", "2", "it", "'s", "-", "(", "a", "_", "b", ")",
+        "o", "'re", "illy", "'ve", "\x1c", "q", "é.'s", "a<|b", "'s",
+    ]
+    assert all(text.encode().lower()[p:].startswith(r.as_py()) for p, r in zip(places.tolist(), runs, strict=True))
+
+
+def test_each_run_is_learned_once_whatever_stands_beside_it():
+    words = packing.WordIds(Path(packing.vocabulary()).read_text(encoding="utf-8"))
+    assert [len(ids) for ids in words.of([b"cat, dog. (cat) dog's cat;dog", b"", b"CAT dog.cat's 'dog'"])] == [12, 0, 8]
+    assert len(words.numbers) == len({"cat", "dog", ",", ".", "(", ")", "'s", ";", "'", "'d", "og"})
+
+
+@pytest.mark.parametrize("step", [1, 7, 60, 1 << 20])
+def test_ids_are_those_of_the_library_for_any_texts(monkeypatch, step):
+    monkeypatch.setattr(packing, "STEP", step)
+    monkeypatch.setattr(packing, "WORDS", 40)
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    words = packing.WordIds(Path(packing.vocabulary()).read_text(encoding="utf-8"))
+    draw = np.random.default_rng(step)
+    signs = [*"''''sstdmlreveLLTx09 \t\n.,-_<|>é́ÀİΣß日ñ🙂\x1c\x00\u0085 ²Ⅷ", "'re", "'ll", "<|endoftext|>", "<|EndOfText|>"]
+    for _ in range(40):
+        texts = ["".join(draw.choice(signs, int(n))) for n in draw.integers(0, 50, 8)]
+        for text, ids in zip(texts, words.of([t.encode() for t in texts]), strict=True):
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_repeated_rows_null_ids_and_empty_table(spark):
     rows = [(1, [1, 2, 3], None, "", ""), (1, [1, 2, 3], None, "", ""), (None, [4], None, "", "")]
     frame = spark.createDataFrame(rows, SCHEMA)
