@@ -170,24 +170,28 @@ def _range_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     return ((hashes >> _U(32)) * _U(parts) >> _U(32)).astype(np.int64)
 
 
-def _gram_table(a: Anchors) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct grams of a segment, the gram of each anchor, numbers of documents and of contexts per gram."""
-    grams, which = np.unique(a.gram, return_inverse=True)
-
-    def kinds(other: np.ndarray) -> np.ndarray:
-        order = np.lexsort((other, which))
+def _kinds(which: np.ndarray, times: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """How many different values of ``other`` each gram has; only grams at several anchors need a look."""
+    out = np.minimum(times, 1)
+    own = np.flatnonzero(times[which] > 1)
+    if len(own):
+        order = own[np.lexsort((other[own], which[own]))]
         w, o = which[order], other[order]
-        new = np.concatenate([[True], (w[1:] != w[:-1]) | (o[1:] != o[:-1])]) if len(w) else np.empty(0, bool)
-        return np.bincount(w[new], minlength=len(grams))
+        out += np.bincount(w[1:][(w[1:] == w[:-1]) & (o[1:] != o[:-1])], minlength=len(times))
+    return out
+
 
-    return grams, which, kinds(a.doc), kinds(a.ctx)
+def _gram_table(a: Anchors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct grams of a segment, numbers of documents and of contexts per gram."""
+    grams, which, times = np.unique(a.gram, return_inverse=True, return_counts=True)
+    return grams, _kinds(which, times, a.doc), _kinds(which, times, a.ctx)
 
 
 def _ask(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                grams, _, docs, contexts = _gram_table(Segment(row).anchors)
+                grams, docs, contexts = _gram_table(Segment(row).anchors)
                 part = _range_of(grams, parts)
                 cuts = np.searchsorted(part, np.arange(parts + 1))
                 for i in range(parts):
@@ -247,7 +251,7 @@ class Suffixes:
 
     def __init__(self, s: Segment, marks: np.ndarray):
         a = s.anchors
-        grams, which, _, _ = _gram_table(a)
+        _, which = np.unique(a.gram, return_inverse=True)
         mark = marks[which] if len(marks) else np.zeros(len(which), np.uint8)
         usual, hot = np.flatnonzero(mark == 1), np.flatnonzero(mark == 2)
         strings = a.hi[hot] - a.lo[hot] + 1
@@ -278,17 +282,23 @@ def _string_hashes(raw: np.ndarray, start: np.ndarray, offset: np.ndarray) -> np
     return _mixed(out + offset.astype(np.uint64) * _U(0x9FB21C651E98DF25))
 
 
-def _runs(s: Suffixes, parts: int) -> Iterator[tuple[int, np.ndarray, bytes]]:
-    """(range, entries, front-coded run) with the suffixes of each range in byte order."""
+def _ordered(s: Suffixes, parts: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(range, entries, bytes of their suffixes) with the suffixes of each range in byte order."""
     part = _range_of(s.spread, parts)
     for i in np.unique(part):
         own = np.flatnonzero(part == i)
         grid = s.raw[s.place[own][:, None] + np.arange(56)]
         size = s.right[own]
         grid[np.arange(56)[None, :] >= size[:, None]] = 0
-        words = np.ascontiguousarray(grid).view(">u8")
+        words = np.ascontiguousarray(grid).view(">u8").astype(np.uint64)
         order = np.lexsort((s.left[own], size, *words.T[::-1]))
-        own, grid, size = own[order], grid[order], size[order]
+        yield int(i), own[order], grid[order]
+
+
+def _runs(s: Suffixes, parts: int) -> Iterator[tuple[int, np.ndarray, bytes]]:
+    """(range, entries, front-coded run) of each range."""
+    for i, own, grid in _ordered(s, parts):
+        size = s.right[own]
         common = np.zeros(len(own), np.int64)
         if len(own) > 1:
             differ = grid[1:] != grid[:-1]
@@ -299,7 +309,7 @@ def _runs(s: Suffixes, parts: int) -> Iterator[tuple[int, np.ndarray, bytes]]:
         left = s.left[own]
         back = s.raw[np.maximum(s.place[own][:, None] - np.arange(SPAN - 1, 0, -1), 0)]
         lead = back[np.arange(SPAN - 1, 0, -1)[None, :] <= left[:, None]].tobytes()
-        yield int(i), own, _pack((
+        yield i, own, _pack((
             common.astype(np.uint8), size.astype(np.uint8), rest, left.astype(np.uint8), lead, s.least[own]
         ))
 
@@ -470,31 +480,48 @@ _CUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("starts", pa
 _CUT_SQL = "doc_id long, n_bytes long, starts array<long>, stops array<long>, kept binary"
 
 
+def _removed(found: Suffixes, keys: np.ndarray, masks: np.ndarray, n: int) -> np.ndarray:
+    """Which of the ``n`` bytes of a segment go."""
+    later = keys[found.doc] > found.least[found.entry]
+    mask = np.where(later, np.uint32(0xFFFFFFFF), masks[found.entry])
+    own = np.flatnonzero(mask)
+    mask, lo, strings = mask[own], found.lo[own], found.hi[own] - found.lo[own] + 1
+    starts = np.zeros(n + LENGTH, np.int8)  # a string has one anchor
+    for k in range(SPAN):
+        starts[lo[((mask >> np.uint32(k)) & np.uint32(1)).astype(bool) & (k < strings)] + k] = 1
+    before = np.cumsum(starts[:n], dtype=np.int32)
+    gone = before > 0
+    gone[LENGTH:] = before[LENGTH:] > before[:-LENGTH]
+    return gone
+
+
 def _cut(parts: int):
     def work(row: dict, answers: dict) -> Iterator[pa.RecordBatch]:
         s = Segment(row)
-        change = np.zeros(len(s.raw) + 1, np.int32)
+        gone = np.zeros(len(s.raw), bool)
         if answers["masks"]:
             found = Suffixes(s, _marks(answers["marks"]))
             masks = np.zeros(len(found.least), np.uint32)
             bits = {a["part"]: _unpack(a["data"]) for a in answers["masks"]}
-            for part, own, _ in _runs(found, parts):
+            for part, own, _ in _ordered(found, parts):
                 masks[own] = bits[part]
-            later = s.keys[found.doc] > found.least[found.entry]
-            mask = np.where(later, np.uint32(0xFFFFFFFF), masks[found.entry])
-            for k in range(SPAN):
-                hit = ((mask >> np.uint32(k)) & np.uint32(1)).astype(bool) & (found.lo + k <= found.hi)
-                start = found.lo[hit] + k
-                np.add.at(change, start, 1)
-                np.add.at(change, start + LENGTH, -1)
-        gone = np.cumsum(change[:-1]) > 0
+            gone = _removed(found, s.keys, masks, len(s.raw))
         begins = np.concatenate([[0], s.ends[:-1]]) if len(s.ends) else s.ends
-        rows = []
-        for doc, x, y in zip(s.ids, begins, s.ends, strict=True):
-            own = np.flatnonzero(np.diff(gone[x:y].astype(np.int8), prepend=0, append=0))
+        # Edges of removed runs, which end with their document.
+        edge = np.zeros(len(gone) + 1, bool)
+        edge[begins] = edge[s.ends] = True
+        same = ~edge[1:-1]
+        first, last = gone.copy(), gone.copy()
+        first[1:] &= ~(gone[:-1] & same)
+        last[:-1] &= ~(gone[1:] & same)
+        starts, stops = np.flatnonzero(first), np.flatnonzero(last) + 1
+        of_doc = np.searchsorted(starts, [begins, s.ends])
+        raw, rows = s.raw.tobytes(), []
+        for doc, x, y, i, j in zip(s.ids, begins.tolist(), s.ends.tolist(), *of_doc.tolist(), strict=True):
+            keep = [x, *np.column_stack([starts[i:j], stops[i:j]]).ravel().tolist(), y] if i < j else [x, y]
             rows.append({
-                "doc_id": doc, "n_bytes": int(y - x), "starts": own[::2], "stops": own[1::2],
-                "kept": s.raw[x:y][~gone[x:y]].tobytes() if len(own) else s.raw[x:y].tobytes(),
+                "doc_id": doc, "n_bytes": y - x, "starts": starts[i:j] - x, "stops": stops[i:j] - x,
+                "kept": b"".join(raw[a:b] for a, b in zip(keep[::2], keep[1::2], strict=True)),
             })
         for at in range(0, len(rows), 500):
             yield pa.RecordBatch.from_pylist(rows[at : at + 500], _CUT)

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from sarraf.llm import suffixes
@@ -79,6 +81,60 @@ def test_long_text_over_several_steps(spark, monkeypatch):
     assert result(frame(spark, rows).coalesce(1)) == plain(rows)
 
 
+def in_process(rows, segment_bytes):
+    """Rows of the steps before the cut, each step run on one partition here."""
+    task = type("Task", (), {"get": staticmethod(lambda: type("Context", (), {"partitionId": staticmethod(lambda: 0)}))})
+    whole = suffixes.TaskContext
+    suffixes.TaskContext = task
+    try:
+        docs = pa.RecordBatch.from_pydict({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]})
+        segments = [r for b in suffixes._segments(segment_bytes)(iter([docs])) for r in b.to_pylist()]
+    finally:
+        suffixes.TaskContext = whole
+
+    def step(work, given, schema, order):
+        out = [r for b in work(iter([pa.RecordBatch.from_pylist(given, schema)])) for r in b.to_pylist()]
+        return sorted(out, key=lambda r: tuple(r[k] for k in order))
+
+    with_kind = pa.schema([("kind", pa.string()), ("ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), *suffixes._ANSWER])
+    together = lambda *kinds: sorted(
+        [{"kind": "text", "part": 0, "n": 0, **r} for r in segments] + [{"kind": k, **r} for k, own in kinds for r in own],
+        key=lambda r: (r["seg"], r["kind"], r["part"]),
+    )
+    asked = step(suffixes._ask(2), segments, suffixes._SEGMENT, ("part", "seg"))
+    marks = step(suffixes._mark(5000), asked, suffixes._ANSWER, ("seg", "part"))
+    runs = step(suffixes._suffix_runs(3), together(("marks", marks)), with_kind, ("part", "seg"))
+    masks = step(suffixes._by_part(suffixes._merge), runs, suffixes._ANSWER, ("seg", "part"))
+    return pa.RecordBatch.from_pylist(together(("marks", marks), ("masks", masks)), with_kind)
+
+
+def test_cutting_makes_no_runs_again(monkeypatch):
+    rows = [(i, t) for i, t in shared_passages(3) if i is not None]
+    given = in_process(rows, 2000)
+    # The runs have been merged: to cut, only the order of their suffixes is needed.
+    monkeypatch.setattr(suffixes, "_runs", None)
+    found = [r for b in suffixes._cut(3)(iter([given])) for r in b.to_pylist()]
+    assert sorted((str(r["doc_id"]), r["n_bytes"], r["kept"], len(r["starts"])) for r in found) == plain(rows)
+
+
+def test_kinds_are_those_of_a_plain_count():
+    draw = np.random.default_rng(5)
+    for n in (0, 1, 2, 300):
+        gram, other = draw.integers(0, 1 + n // 2, n), draw.integers(0, 3, n)
+        grams, which, times = np.unique(gram, return_inverse=True, return_counts=True)
+        assert suffixes._kinds(which, times, other).tolist() == [len(set(other[gram == g].tolist())) for g in grams]
+
+
+def test_removed_runs_end_with_their_document(spark):
+    text = "".join(random.Random(2).choice("abcdefgh") for _ in range(70))
+    rows = [(1, text), (2, text), (3, ""), (4, text), (5, "new " + text), (6, None), (7, text[:60] + "!" + text[20:])]
+    assert result(frame(spark, rows).coalesce(1)) == plain(rows)
+    found = {r.doc_id: (list(r.starts), list(r.stops)) for r in suffixes.cut_repeats(frame(spark, rows).coalesce(1)).collect()}
+    assert found == {
+        1: ([], []), 2: ([0], [70]), 3: ([], []), 4: ([0], [70]), 5: ([4], [74]), 6: ([], []), 7: ([0, 61], [60, 111]),
+    }
+
+
 def test_empty_table(spark):
     assert result(frame(spark, []).limit(0)) == []
 
